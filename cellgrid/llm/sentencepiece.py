@@ -21,6 +21,7 @@ the input pass through unless named as results.
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -55,6 +56,7 @@ class Model:
         texts = [self.pieces[i] for i in normal]
         chars = sorted({c for t in texts for c in t} - {t for t in texts if len(t) == 1})
         # Tokens: the pieces, then characters that occur in pieces only, then one for any other character.
+        self.uid = uuid.uuid4().hex
         self.n = len(self.pieces)
         self.texts = self.pieces + chars + ["\0other"]
         self.other = len(self.texts) - 1
@@ -310,7 +312,15 @@ class Codec:
         return [t[1:] if t.startswith(" ") else t for t in out]
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: dict[str, Codec] = {}
+
+
+def _codec(model: Model) -> Codec:
+    """The worker's codec for a model, so that known words outlive a task; one model at a time."""
+    if model.uid not in _CODECS:
+        _CODECS.clear()
+        _CODECS[model.uid] = Codec(model)
+    return _CODECS[model.uid]
 
 
 def _pieces_of(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
@@ -334,7 +344,7 @@ def encode(docs: DataFrame, model: Model, text: str = "text", ids: str = "ids",
     schema = T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField(ids, T.ArrayType(T.IntegerType()))] + ([T.StructField(check, T.BooleanType())] if check else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _CODECS.get(shared.id) or _CODECS.setdefault(shared.id, Codec(shared.value))
+        codec = _codec(shared.value)
         for batch in batches:
             for b in _pieces_of(batch, at) if batch.num_rows else ():
                 column = b.column(at)
@@ -357,7 +367,7 @@ def decode(rows: DataFrame, model: Model, ids: str = "ids", text: str = "text")
     at, names = rows.columns.index(ids), [*rows.columns, text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _CODECS.get(shared.id) or _CODECS.setdefault(shared.id, Codec(shared.value))
+        codec = _codec(shared.value)
         for b in batches:
             lists = b.column(at)
             counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)

@@ -148,38 +148,44 @@ def score(docs: DataFrame, model: Classifier, text: str = "text", floor: float =
 
 
 def _rate(steps: list[list[float]], most: float) -> Column:
-    """The rate after the given steps, as a function of the posteriors."""
-    r = F.lit(1.0)
-    for g in steps:
-        move = sum((F.lit(x) * F.get("posterior", F.lit(d)) for d, x in enumerate(g)), F.lit(0.0))
-        r = F.greatest(F.lit(0.0), F.least(F.lit(most), r - move))
-    return r
+    """The rate after the given steps, as a function of the posteriors (one expression, whatever the steps)."""
+    if not steps:
+        return F.lit(1.0)
+    move = " + ".join(f"get(g, {d}) * get(posterior, {d})" for d in range(len(steps[0])))
+    table = ", ".join("array(" + ", ".join(f"{x!r}D" for x in g) + ")" for g in steps)
+    return F.expr(f"aggregate(array({table}), 1.0D, (r, g) -> greatest(0.0D, least({float(most)!r}D, r - ({move}))))")
 
 
-def fit_rates(scored: DataFrame, weights: list[float], most: float = 1.0, rounds: int = 30, tolerance: float = 1e-3) -> list[list[float]]:
+def fit_rates(scored: DataFrame, weights: list[float], most: float = 1.0, rounds: int = 20, tolerance: float = 1e-3) -> list[list[float]]:
     """Steps of projected gradient descent for ``weights`` (token shares wanted; they are normalised).
 
     The scale is set by the first domain, whose target is all its expected
-    tokens; the others follow from their weights.
+    tokens; the others follow from their weights.  A step is scaled by the
+    expected tokens of the documents that it can still move.
     """
     k = len(weights)
+    mass = [F.col("tokens") * F.get("posterior", F.lit(d)) for d in range(k)]
 
-    def totals(steps: list[list[float]]) -> list[float]:
-        r = _rate(steps, most)
-        row = scored.agg(*(F.sum(r * F.col("tokens") * F.get("posterior", F.lit(d))).alias(f"s{d}") for d in range(k))).first()
+    def sums(by: Column) -> list[float]:
+        row = scored.withColumn("_by", by).agg(*(F.sum(F.col("_by") * m) for m in mass)).first()
         return [float(x or 0.0) for x in row]
 
-    full = totals([])
+    full = sums(F.lit(1.0))
     target = [full[0] * w / weights[0] for w in weights]
+    every = max(1.0, sum(full))
     steps: list[list[float]] = []
-    now, every = full, max(1.0, sum(full))
+    now = full
     while len(steps) < rounds:
         gap = [a - b for a, b in zip(now, target)]
         if max(map(abs, gap)) <= tolerance * every:
             break
-        steps.append([g / max(1.0, f) for g, f in zip(gap, full)])
-        after = totals(steps)
-        if max(abs(a - b) for a, b in zip(after, now)) <= 1e-6 * every:
+        r = _rate(steps, most)
+        way = sum((F.lit(g / max(1.0, f)) * F.get("posterior", F.lit(d)) for d, (g, f) in enumerate(zip(gap, full))), F.lit(0.0))
+        free = ((r > 0) | (way < 0)) & ((r < most) | (way > 0))
+        moved = sums(free.cast("double"))
+        steps.append([g / max(1.0, m) for g, m in zip(gap, moved)])
+        after = sums(_rate(steps, most))
+        if max(abs(a - b) for a, b in zip(after, now)) <= tolerance * every / 2:
             break
         now = after
     return steps

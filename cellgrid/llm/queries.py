@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality, secrets, sentencepiece, sharding, simhash, spans
+from . import html_extract, mixing, pii, quality, secrets, sentencepiece, sharding, simhash, spans
 from .common import read
 
 #: Domains of the labelled table, and the token shares wanted.
@@ -50,6 +50,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.with_rates(scored, mixing.fit_rates(scored, WEIGHTS))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(f"n_{k}" for k in secrets.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_sentencepiece, op3_shards, op5_pii, op6_mixing, op8_simhash, op9_quality, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_sentencepiece, op3_shards, op5_pii, op6_mixing, op7_html, op8_simhash, op9_quality, op10_secrets)}
 
 #: No query here has an equivalent in SQL: each holds a fitted model, a hash that SQL engines lack or an iteration.
 #: They are tested against brute force in tests/llm.

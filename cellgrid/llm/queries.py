@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, mixing, pii, quality, secrets, sentencepiece, sharding, simhash, spans
+from . import ann, html_extract, mixing, pii, quality, secrets, sentencepiece, sharding, simhash, spans
 from .common import read
 
 #: Domains of the labelled table, and the token shares wanted.
@@ -25,6 +25,10 @@ def domains_of(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", F.expr("CASE WHEN quality = 0 THEN 'junk' WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'clean' END").alias("domain"))
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(20)) == 0)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece.encode(docs, piece_model(), check="round_trip").select("doc_id", "n_tokens", "ids", "round_trip")
@@ -69,7 +73,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(f"n_{k}" for k in secrets.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_sentencepiece, op3_shards, op5_pii, op6_mixing, op7_html, op8_simhash, op9_quality, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ann, op2_sentencepiece, op3_shards, op5_pii, op6_mixing, op7_html, op8_simhash, op9_quality, op10_secrets)}
 
 #: No query here has an equivalent in SQL: each holds a fitted model, a hash that SQL engines lack or an iteration.
 #: They are tested against brute force in tests/llm.

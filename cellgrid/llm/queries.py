@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, mixing, pii, quality, secrets, sentencepiece, sharding, simhash, spans
+from . import ann, html_extract, mixing, pii, quality, secrets, sentencepiece, sharding, simhash, spans, suffix_dedup
 from .common import read
 
 #: Domains of the labelled table, and the token shares wanted.
@@ -39,6 +39,10 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.fit(docs))
@@ -73,7 +77,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(f"n_{k}" for k in secrets.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ann, op2_sentencepiece, op3_shards, op5_pii, op6_mixing, op7_html, op8_simhash, op9_quality, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ann, op2_sentencepiece, op3_shards, op4_suffix_dedup, op5_pii, op6_mixing, op7_html, op8_simhash, op9_quality, op10_secrets)}
 
 #: No query here has an equivalent in SQL: each holds a fitted model, a hash that SQL engines lack or an iteration.
 #: They are tested against brute force in tests/llm.

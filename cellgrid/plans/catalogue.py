@@ -1,4 +1,303 @@
-"""Queries over catalogued tables and their SQL."""
+"""Queries over catalogued tables, each with its equivalent in SQL on the source tables.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+Every query writes its source table whole through a catalog into a fresh
+root, and reads it back through the engine.
+"""
+
+from __future__ import annotations
+
+import json
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cellgrid.sources.table import ReadOptions, Table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """A fresh root in the shared folder; a folder of our own only where none is configured."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cellgrid-")
+    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
+def catalog(name: str, keys: list[tuple[str, str]], columns: list[tuple[str, str, str]], coder: str = "PrimitiveType", **extra: dict) -> str:
+    cols = {k: {"cf": "rowkey", "col": k, "type": t} for k, t in keys} | {c: {"cf": cf, "col": c, "type": t} for c, cf, t in columns}
+    for c, more in extra.items():
+        cols[c] |= more
+    return json.dumps({"table": {"name": name, "tableCoder": coder, "version": "2.0"}, "rowkey": ":".join(k for k, _ in keys), "columns": cols})
+
+
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+ORDERS = catalog("orders", [("o_orderkey", "bigint")], [("o_custkey", "a", "bigint"), ("o_orderstatus", "a", "string"), ("o_totalprice", "b", "double")])
+CUSTOMER = catalog("customer", [("k", "int")], [("c_name", "a", "string"), ("c_acctbal", "b", "double"), ("c_mktsegment", "a", "string")])
+PART = catalog("part", [("p_partkey", "bigint")], [("p_name", "a", "string"), ("p_size", "b", "int")])
+
+
+def stored(spark: SparkSession, df: DataFrame, text: str, **options: str) -> Table:
+    table = Table(spark, scratch(spark), text, {"newtable": "6"} | options)
+    table.write(df.select(*(f.name for f in table.catalog.fields if f.name in df.columns)))
+    return table
+
+
+def millis(column: str):
+    """Milliseconds since 1970 of a timestamp without time zone, read as UTC whatever the session's zone is."""
+    return F.unix_millis(F.concat(F.col(column).cast("string"), F.lit("Z")).cast("timestamp"))
+
+
+def query(sql: str | None) -> Callable:
+    def note(f: Callable) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return note
+
+
+def orders(spark: SparkSession, sf_dir: str) -> Table:
+    return stored(spark, source(spark, sf_dir, "orders"), ORDERS)
+
+
+def customers(spark: SparkSession, sf_dir: str) -> Table:
+    return stored(spark, source(spark, sf_dir, "customer").withColumn("k", (F.col("c_custkey") - 750).cast("int")), CUSTOMER)
+
+
+def parts(spark: SparkSession, sf_dir: str) -> Table:
+    return stored(spark, source(spark, sf_dir, "part"), PART)
+
+
+_O = "o_orderkey, o_custkey, o_orderstatus, o_totalprice"
+_C = "CAST(c_custkey - 750 AS INTEGER) AS k, c_name, c_acctbal, c_mktsegment"
+
+
+@query(f"SELECT {_O} FROM orders WHERE o_orderkey BETWEEN 100 AND 900 AND o_orderstatus = 'F'")
+def key_range_filter(spark, sf_dir):
+    return orders(spark, sf_dir).read(("and", (">=", "o_orderkey", 100), ("<=", "o_orderkey", 900), ("=", "o_orderstatus", "F")))
+
+
+@query(f"SELECT {_O} FROM orders")
+def full_scan(spark, sf_dir):
+    return orders(spark, sf_dir).read()
+
+
+@query(f"SELECT {_O} FROM orders WHERE o_orderkey = 77")
+def key_point(spark, sf_dir):
+    return orders(spark, sf_dir).read(("=", "o_orderkey", 77))
+
+
+@query(f"SELECT {_O} FROM orders WHERE o_orderkey IN (1, 2, 3, 500, 1000000)")
+def key_in(spark, sf_dir):
+    return orders(spark, sf_dir).read(("in", "o_orderkey", [1, 2, 3, 500, 1000000]))
+
+
+@query(f"SELECT {_O} FROM orders WHERE o_orderkey IN (1, 2, 3, 4) AND o_orderkey NOT IN (2, 3)")
+def key_in_not_in(spark, sf_dir):
+    return orders(spark, sf_dir).read(("and", ("in", "o_orderkey", [1, 2, 3, 4]), ("not", ("in", "o_orderkey", [2, 3]))))
+
+
+@query(f"SELECT {_O} FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey % 3 = 0)")
+def key_bulk_get(spark, sf_dir):
+    return orders(spark, sf_dir).lookup(source(spark, sf_dir, "orders").where("o_custkey % 3 = 0"))
+
+
+@query(f"SELECT {_C} FROM customer WHERE c_custkey - 750 BETWEEN -10 AND 10")
+def key_range_signed(spark, sf_dir):
+    return customers(spark, sf_dir).read(("and", (">=", "k", -10), ("<=", "k", 10)))
+
+
+@query(f"SELECT {_C} FROM customer WHERE c_custkey - 750 < -700 OR c_custkey - 750 > 700")
+def key_range_or(spark, sf_dir):
+    return customers(spark, sf_dir).read(("or", ("<", "k", -700), (">", "k", 700)))
+
+
+@query("SELECT c_name, c_custkey FROM customer WHERE c_name LIKE 'Customer#0000001%'")
+def key_prefix(spark, sf_dir):
+    text = catalog("named", [("c_name", "string")], [("c_custkey", "a", "bigint")])
+    return stored(spark, source(spark, sf_dir, "customer"), text).read(("startswith", "c_name", "Customer#0000001"))
+
+
+@query(f"SELECT {_O} FROM orders WHERE o_orderstatus = 'O'")
+def column_equal(spark, sf_dir):
+    return orders(spark, sf_dir).read(("=", "o_orderstatus", "O"))
+
+
+@query(f"SELECT {_O} FROM orders WHERE o_orderstatus IN ('F', 'P')")
+def column_in(spark, sf_dir):
+    return orders(spark, sf_dir).read(("in", "o_orderstatus", ["F", "P"]))
+
+
+@query(f"SELECT {_O} FROM orders WHERE NOT (o_totalprice < 100000 OR o_totalprice >= 200000)")
+def column_range_negated(spark, sf_dir):
+    return orders(spark, sf_dir).read(("not", ("or", ("<", "o_totalprice", 100000.0), (">=", "o_totalprice", 200000.0))))
+
+
+@query(f"SELECT {_O} FROM orders WHERE o_orderstatus <> 'F'")
+def column_not_equal(spark, sf_dir):
+    return orders(spark, sf_dir).read(("!=", "o_orderstatus", "F"))
+
+
+@query(f"SELECT {_O} FROM orders WHERE o_orderkey = 5 OR o_orderstatus = 'P'")
+def or_of_key_and_column(spark, sf_dir):
+    return orders(spark, sf_dir).read(("or", ("=", "o_orderkey", 5), ("=", "o_orderstatus", "P")))
+
+
+@query(f"SELECT {_O} FROM orders WHERE (o_orderkey < 100 AND o_orderstatus = 'F') OR (o_orderkey > 1000 AND o_orderstatus = 'O')")
+def or_of_ands(spark, sf_dir):
+    return orders(spark, sf_dir).read(("or", ("and", ("<", "o_orderkey", 100), ("=", "o_orderstatus", "F")), ("and", (">", "o_orderkey", 1000), ("=", "o_orderstatus", "O"))))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'a') AND NOT contains(p_name, 'e') OR p_name LIKE '%1'")
+def string_tests(spark, sf_dir):
+    where = ("or", ("and", ("contains", "p_name", "a"), ("not", ("contains", "p_name", "e"))), ("endswith", "p_name", "1"))
+    return parts(spark, sf_dir).read(where, columns=["p_partkey", "p_name"])
+
+
+@query("SELECT doc_id, CASE WHEN lang <> 'en' THEN lang END AS lang, CASE WHEN n_chars > 1000 THEN n_chars END AS n_chars FROM documents")
+def null_cells(spark, sf_dir):
+    text = catalog("docs", [("doc_id", "bigint")], [("lang", "a", "string"), ("n_chars", "b", "bigint")])
+    df = source(spark, sf_dir, "documents").select("doc_id", F.expr("CASE WHEN lang <> 'en' THEN lang END").alias("lang"), F.expr("CASE WHEN n_chars > 1000 THEN n_chars END").alias("n_chars"))
+    return stored(spark, df, text).read()
+
+
+@query("SELECT l_orderkey, l_linenumber, MAX(l_quantity) AS q, COUNT(*) AS n FROM lineitem WHERE l_orderkey >= 50 GROUP BY 1, 2")
+def composite_key(spark, sf_dir):
+    text = catalog("lines", [("l_orderkey", "bigint"), ("l_linenumber", "int")], [("q", "a", "double"), ("n", "a", "bigint")])
+    df = source(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"), F.count("*").alias("n"))
+    return stored(spark, df, text).read((">=", "l_orderkey", 50))
+
+
+@query("SELECT r_name, n_name, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name >= 'ASIA'")
+def ordered_composite_key(spark, sf_dir):
+    text = catalog("places", [("r_name", "string"), ("n_name", "string")], [("n_nationkey", "a", "int")], coder="Ordered")
+    df = source(spark, sf_dir, "nation").join(source(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return stored(spark, df, text).read((">=", "r_name", "ASIA"))
+
+
+EVENTS = catalog("events", [("user_id", "bigint")], [("v", "e", "map<string,map<bigint,double>>")], v={"col": ""})
+
+
+def events(spark: SparkSession, sf_dir: str, retain: int = 1 << 30) -> Table:
+    """Users as rows, event types as qualifiers, milliseconds as versions; of events of one cell the largest id counts."""
+    df = source(spark, sf_dir, "events").select("user_id", "event_type", millis("ts").alias("ms"), "value", "event_id")
+    df = df.groupBy("user_id", "event_type", "ms").agg(F.max_by("value", "event_id").alias("value"))
+    rows = df.groupBy("user_id", "event_type").agg(F.map_from_entries(F.collect_list(F.struct("ms", "value"))).alias("m")).groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "m"))).alias("v"))
+    return stored(spark, rows, EVENTS, maxVersions=str(retain))
+
+
+_EV = "SELECT user_id, event_type, epoch_us(ts) // 1000 AS ms, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2, 3"
+_FLAT = "user_id, explode(v) AS (event_type, m)"
+
+
+def flat(df: DataFrame) -> DataFrame:
+    return df.select("user_id", F.explode("v").alias("event_type", "m")).select("user_id", "event_type", F.explode("m").alias("ms", "value"))
+
+
+@query(f"SELECT * FROM ({_EV}) t")
+def dynamic_columns_with_versions(spark, sf_dir):
+    return flat(events(spark, sf_dir).read(options=ReadOptions(max_versions=1 << 30, restrictive="FAMILY")))
+
+
+@query(f"SELECT user_id, event_type, ms, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ms DESC) AS n FROM ({_EV}) t) u WHERE n <= 2")
+def newest_versions(spark, sf_dir):
+    return flat(events(spark, sf_dir).read(options=ReadOptions(max_versions=2, restrictive="FAMILY")))
+
+
+@query(f"SELECT user_id, event_type, max(ms) AS ms, arg_max(value, ms) AS value FROM ({_EV}) t WHERE ms >= (SELECT min(epoch_us(ts) // 1000) FROM events) + 86400000 AND ms < (SELECT max(epoch_us(ts) // 1000) FROM events) GROUP BY 1, 2")
+def time_range(spark, sf_dir):
+    low, high = source(spark, sf_dir, "events").agg(F.min(millis("ts")), F.max(millis("ts"))).first()
+    return flat(events(spark, sf_dir).read(options=ReadOptions(min_stamp=low + 86400000, max_stamp=high, restrictive="FAMILY")))
+
+
+@query(f"SELECT user_id, event_type, arg_max(value, ms) AS value FROM ({_EV}) t GROUP BY 1, 2")
+def dynamic_columns_latest(spark, sf_dir):
+    table = events(spark, sf_dir)
+    text = EVENTS.replace("map<string,map<bigint,double>>", "map<string,double>")
+    df = Table(spark, table.path.rsplit("/", 2)[0], text).read(options=ReadOptions(restrictive="FAMILY"))
+    return df.select("user_id", F.explode("v").alias("event_type", "value"))
+
+
+VERSIONS = catalog("prices", [("s_suppkey", "bigint")], [("s_name", "a", "string"), ("s_acctbal", "b", "double")])
+
+
+def suppliers(spark: SparkSession, sf_dir: str) -> Table:
+    df = source(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    table = Table(spark, scratch(spark), VERSIONS, {"maxVersions": "3"})
+    table.write(df, timestamp=1000)
+    table.write(df.where("s_suppkey % 2 = 0").select("s_suppkey", (F.col("s_acctbal") * 2).alias("s_acctbal")), timestamp=2000)
+    return table
+
+
+@query("SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal * 2 ELSE s_acctbal END AS s_acctbal FROM supplier")
+def upsert_newest_wins(spark, sf_dir):
+    return suppliers(spark, sf_dir).read()
+
+
+@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier UNION ALL SELECT s_suppkey, NULL, s_acctbal * 2 FROM supplier WHERE s_suppkey % 2 = 0")
+def version_rows(spark, sf_dir):
+    return suppliers(spark, sf_dir).read(options=ReadOptions(max_versions=3, merge_to_latest=False))
+
+
+@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def as_of_timestamp(spark, sf_dir):
+    return suppliers(spark, sf_dir).read(options=ReadOptions(timestamp=1000))
+
+
+@query("SELECT doc_id, lang, source, n_chars FROM documents WHERE lang <> 'en'")
+def avro_struct(spark, sf_dir):
+    schema = json.dumps({"type": "record", "name": "doc", "fields": [{"name": "lang", "type": ["string", "null"]}, {"name": "source", "type": ["string", "null"]}, {"name": "n_chars", "type": ["null", "long"]}]})
+    text = catalog("avro_docs", [("doc_id", "bigint")], [("r", "a", "binary")], r={"avro": "doc_schema"})
+    df = source(spark, sf_dir, "documents").select("doc_id", F.struct("lang", "source", "n_chars").alias("r"))
+    return stored(spark, df, text, doc_schema=schema).read().where("r.lang <> 'en'").select("doc_id", "r.lang", "r.source", "r.n_chars")
+
+
+@query("SELECT vec_id, embedding[1] AS first, len(embedding) AS n FROM embeddings")
+def avro_array(spark, sf_dir):
+    text = catalog("avro_vectors", [("vec_id", "bigint")], [("v", "a", "binary")], v={"avro": "vector"})
+    df = source(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("v"))
+    schema = json.dumps({"type": "array", "items": ["float", "null"]})
+    return stored(spark, df, text, vector=schema).read().select("vec_id", F.get("v", F.lit(0)).alias("first"), F.size("v").cast("long").alias("n"))
+
+
+@query("SELECT o_orderstatus, COUNT(*) AS n, COUNT(o_custkey) AS custs FROM orders WHERE o_orderkey < 5000 GROUP BY 1")
+def sql_view_aggregate(spark, sf_dir):
+    name = f"v_{uuid.uuid4().hex}"
+    orders(spark, sf_dir).view(name)
+    return spark.sql(f"SELECT o_orderstatus, count(1) AS n, count(o_custkey) AS custs FROM {name} WHERE o_orderkey < 5000 GROUP BY 1")
+
+
+@query("SELECT DISTINCT o_orderstatus FROM orders")
+def distinct_values(spark, sf_dir):
+    return orders(spark, sf_dir).read(columns=["o_orderstatus"]).distinct()
+
+
+@query(f"SELECT {_O} FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+def sort_limit(spark, sf_dir):
+    return orders(spark, sf_dir).read().orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
+
+
+@query("SELECT o_orderkey, o_totalprice, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'")
+def join_two_roots(spark, sf_dir):
+    right = customers(spark, sf_dir).read(("=", "c_mktsegment", "BUILDING")).select((F.col("k") + 750).cast("long").alias("o_custkey"), "c_name")
+    return orders(spark, sf_dir).read().join(right, "o_custkey").select("o_orderkey", "o_totalprice", "c_name")
+
+
+@query("SELECT l_returnflag, SUM(l_quantity) AS qty, COUNT(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F' GROUP BY 1")
+def join_with_parquet(spark, sf_dir):
+    left = orders(spark, sf_dir).read(("=", "o_orderstatus", "F"), columns=["o_orderkey"])
+    return source(spark, sf_dir, "lineitem").join(left, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_returnflag").agg(F.sum("l_quantity").alias("qty"), F.count("*").alias("n"))
+
+
+@query(f"SELECT {_O} FROM orders WHERE o_orderkey BETWEEN 200 AND 400")
+def compacted_snapshot(spark, sf_dir):
+    table = orders(spark, sf_dir)
+    table.compact()
+    return table.snapshot(("and", (">=", "o_orderkey", 200), ("<=", "o_orderkey", 400))).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")

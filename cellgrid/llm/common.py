@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: White space of the word definition ``[^\x20\x09-\x0D]+`` (fixed values).
 SPACE_CHARS = " \t\n\x0b\x0c\r"
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
@@ -33,10 +34,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
     The files outlive any executor, so a lost executor costs only its tasks.
+    Once they are there, nothing reads the shuffle files that led to them, so
+    Spark is asked to delete these when the write ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

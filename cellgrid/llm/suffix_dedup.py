@@ -5,6 +5,11 @@ Bytes covered by a string of ``length`` bytes that also starts earlier
 compared up to ``length`` bytes only, so the difference-cover algorithm needs
 one level of naming instead of a recursion to the end of the text:
 
+0. Texts are cut where their content says so (a hash of 16 bytes), and each
+   piece is named together with the ``length`` - 1 bytes behind it.  All starts
+   in a piece that occurs earlier are repeats; they need no names of their own,
+   as the first such piece holds the same strings.  Copies end here; what
+   follows deals with the other starts only.
 1. Positions whose residues lie in a difference cover D modulo v are the
    sampled suffixes.  Any two positions have a shift below v that takes both
    into the sample.  Sampled suffixes are named by their first length - v + 1
@@ -44,7 +49,10 @@ from . import common
 MODULUS = 57
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 _NO_ID = -(1 << 63)
-_PACK = 3 << 20
+_PACK = 3 << 19
+_CUT = 16
+#: One position in so many is a cut, on average.
+_PIECE = np.uint64(64)
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -70,8 +78,10 @@ class Hasher:
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(byte[data] * self.up[: len(data)], out=self.sums[1:])
 
-    def at(self, starts: np.ndarray, width: int) -> np.ndarray:
+    def at(self, starts: np.ndarray, width: int | np.ndarray) -> np.ndarray:
         h = (self.sums[starts + width] - self.sums[starts]) * self.down[starts]
+        if not isinstance(width, int):
+            h += width.astype(np.uint64) * np.uint64(_B2)
         h ^= h >> np.uint64(30)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(27)
@@ -93,33 +103,57 @@ class Pack:
         """For each position the bytes from it to the end of its document."""
         return np.repeat(self.ends, self.sizes) - np.arange(len(self.data))
 
-    def samples(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Sampled positions, the sorted distinct names, each position's name, and how often a name occurs."""
+    def pieces(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pieces of the starts with room for ``length`` bytes begin and end."""
+        long = self.sizes >= self.length
+        if not long.any():
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        first, last = self.starts[long], self.ends[long] - self.length
+        at = np.arange(len(self.data) - _CUT + 1)
+        cut = np.flatnonzero(Hasher(self.data, _B1).at(at, _CUT) % _PIECE == 0)
+        doc = np.searchsorted(last, cut)
+        doc = np.minimum(doc, len(last) - 1)
+        cut = cut[(cut > first[doc]) & (cut <= last[doc])]
+        begin = np.sort(np.concatenate([first, cut]))
+        doc = np.searchsorted(last, begin)
+        end = np.minimum(np.append(begin[1:], len(self.data)), last[doc] + 1)
+        return begin, end
+
+    def live(self, gone: np.ndarray) -> np.ndarray:
+        """Starts with room for ``length`` bytes outside the pieces that are ``gone``."""
+        begin, end = self.pieces()
+        delta = np.zeros(len(self.data) + 1, np.int32)
+        np.add.at(delta, begin[~gone], 1)
+        np.add.at(delta, end[~gone], -1)
+        return np.cumsum(delta[:-1]) > 0
+
+    def samples(self, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sampled positions behind live starts, the sorted distinct names, each position's name, and how often it occurs."""
         width = self.length - MODULUS + 1
-        base = np.arange(0, len(self.data), MODULUS)[:, None] + np.array(COVER)
-        at = base.ravel()
+        at = (np.arange(0, len(self.data), MODULUS)[:, None] + np.array(COVER)).ravel()
         at = at[at < len(self.data)]
+        sums = np.concatenate(([0], np.cumsum(live)))
         doc = np.searchsorted(self.ends, at, side="right")
-        at = at[(at + width <= self.ends[doc]) & (self.sizes[doc] >= self.length)]
+        at = at[(at + width <= self.ends[doc]) & (sums[at + 1] > sums[np.maximum(0, at - MODULUS + 1)])]
         names, back, counts = np.unique(Hasher(self.data, _B1).at(at, width), return_inverse=True, return_counts=True)
         return at, names, back, counts
 
-    def candidates(self, shared: np.ndarray) -> np.ndarray:
-        """Starts less than MODULUS before a sampled position with a shared name, with room for ``length`` bytes."""
-        at, names, back, counts = self.samples()
+    def candidates(self, live: np.ndarray, shared: np.ndarray) -> np.ndarray:
+        """Live starts less than MODULUS before a sampled position with a shared name."""
+        at, names, back, counts = self.samples(live)
         hit = at[shared[back]]
         delta = np.zeros(len(self.data) + 1, np.int32)
         np.add.at(delta, np.maximum(0, hit - MODULUS + 1), 1)
         np.add.at(delta, hit + 1, -1)
-        near = np.flatnonzero(np.cumsum(delta[:-1]) > 0)
-        doc = np.searchsorted(self.ends, near, side="right")
-        return near[near + self.length <= self.ends[doc]]
+        return np.flatnonzero((np.cumsum(delta[:-1]) > 0) & live)
 
-    def strings(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The two hashes of the strings at ``starts``, and the order by hash, then place."""
-        h, g = Hasher(self.data, _B1).at(starts, self.length), Hasher(self.data, _B2).at(starts, self.length).astype(np.uint32)
+    def strings(self, starts: np.ndarray, width: int | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.recarray]:
+        """The strings' order by name, then place; which of them are the pack's first of a name; their names."""
+        h, g = Hasher(self.data, _B1).at(starts, width), Hasher(self.data, _B2).at(starts, width).astype(np.uint32)
         order = np.lexsort((g, h))  # stable: places stay in order
-        return h, g, order
+        h, g = h[order], g[order]
+        new = np.concatenate(([True], (h[1:] != h[:-1]) | (g[1:] != g[:-1]))) if len(h) else np.empty(0, bool)
+        return order, new, np.rec.fromarrays([h, g], names="h,g")
 
 
 def _least(values: np.ndarray) -> tuple[int, bytes]:
@@ -184,6 +218,13 @@ def _joined(flags: list, cuts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _later(new: np.ndarray, names: np.recarray, flags: list, bits: int) -> np.ndarray:
+    """In the order of names: all but the pack's first of a name, and firsts of which another pack has an earlier one."""
+    out = ~new
+    out[new] = _joined(flags, _slices(names.h[new], bits))
+    return out
+
+
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(len(kinds))], names=names)
 
@@ -197,16 +238,56 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
     bits = min(16, max(2, (int(total * len(COVER) / MODULUS / names_per_bucket)).bit_length()))
     skip = np.uint64(16 - bits if bits < 16 else 0)
 
+    def open_pack(r: dict) -> tuple[Pack, np.ndarray]:
+        """The pack, and which of its starts are live once repeated pieces are known."""
+        pack = Pack(r["ids"], r["sizes"], r["data"], length)
+        begin, end = pack.pieces()
+        order, new, names = pack.strings(begin, end - begin + length - 1)
+        gone = np.empty(len(begin), bool)
+        gone[order] = _later(new, names, r["pieces"], bits)
+        return pack, pack.live(gone)
+
+    def open_strings(r: dict) -> tuple[Pack, np.ndarray, np.ndarray]:
+        pack, live = open_pack(r)
+        names = pack.samples(live)[1]
+        return pack, live, pack.candidates(live, _joined(r["shared"], _slices(names, bits)))
+
+    def sent(pack: Pack, number: int, starts: np.ndarray, width: int | np.ndarray) -> Iterator[pa.RecordBatch]:
+        order, new, names = pack.strings(starts, width)
+        names, places = names[new], starts[order][new]
+        ids = pack.ids[np.searchsorted(pack.ends, places, side="right")]
+        cuts, rows = _slices(names.h, bits), []
+        for k in range(1 << bits):
+            s = slice(cuts[k], cuts[k + 1])
+            if s.start < s.stop:
+                low, blob = _least(ids[s])
+                rows.append((k, number, names.h[s].astype("<u8").tobytes(), names.g[s].astype("<u4").tobytes(), low, blob))
+        if rows:
+            yield _batch(rows, ["bucket", "pack", "h", "g", "low", "ids"], [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()])
+
+    def piece_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                pack = Pack(r["ids"], r["sizes"], r["data"], length)
+                begin, end = pack.pieces()
+                yield from sent(pack, r["pack"], begin, end - begin + length - 1)
+
     def sample_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                _, names, _, counts = Pack(r["ids"], r["sizes"], r["data"], length).samples()
+                _, names, _, counts = Pack.samples(*open_pack(r))
                 cuts = _slices(names, bits)
                 short = (names >> skip).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
                 rows = [(k, r["pack"], short[cuts[k] : cuts[k + 1]].tobytes(), _bits(counts[cuts[k] : cuts[k + 1]] > 1)) for k in range(1 << bits) if cuts[k] < cuts[k + 1]]
                 if rows:
                     yield _batch(rows, ["bucket", "pack", "names", "many"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
 
+    def string_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                pack, _, starts = open_strings(r)
+                yield from sent(pack, r["pack"], starts, length)
+
     def shared_names(table: pa.Table) -> pa.Table:
         blobs = table.column("names").to_pylist()
         sizes = [len(x) // 6 for x in blobs]
@@ -224,42 +305,6 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
         ends = np.cumsum(sizes)
         return pa.table([table.column("bucket"), table.column("pack"), pa.array([_bits(flags[e - n : e]) for e, n in zip(ends, sizes)], pa.binary())], names=["bucket", "pack", "flags"])
 
-    reply = "bucket int, pack long, flags binary"
-
-    def by_pack(flags: DataFrame, name: str) -> DataFrame:
-        return common.materialise(flags.groupBy("pack").agg(F.collect_list(F.struct("bucket", "flags")).alias(name)), name)
-
-    sent = packs.mapInArrow(sample_names, "bucket int, pack long, names binary, many binary")
-    shared = by_pack(sent.groupBy("bucket").applyInArrow(shared_names, reply), "shared")
-
-    def open_pack(r: dict) -> tuple[Pack, np.ndarray]:
-        pack = Pack(r["ids"], r["sizes"], r["data"], length)
-        names = pack.samples()[1]
-        return pack, pack.candidates(_joined(r["shared"], _slices(names, bits)))
-
-    def firsts(pack: Pack, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Candidates in the order of their strings, which of them is the pack's first, and their hashes."""
-        h, g, order = pack.strings(starts)
-        h, g = h[order], g[order]
-        new = np.concatenate(([True], (h[1:] != h[:-1]) | (g[1:] != g[:-1]))) if len(h) else np.empty(0, bool)
-        return order, new, np.rec.fromarrays([h, g], names="h,g")
-
-    def string_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                pack, starts = open_pack(r)
-                order, new, hashes = firsts(pack, starts)
-                hashes, places = hashes[new], starts[order][new]
-                ids = pack.ids[np.searchsorted(pack.ends, places, side="right")]
-                cuts, rows = _slices(hashes.h, bits), []
-                for k in range(1 << bits):
-                    s = slice(cuts[k], cuts[k + 1])
-                    if s.start < s.stop:
-                        low, blob = _least(ids[s])
-                        rows.append((k, r["pack"], hashes.h[s].astype("<u8").tobytes(), hashes.g[s].astype("<u4").tobytes(), low, blob))
-                if rows:
-                    yield _batch(rows, ["bucket", "pack", "h", "g", "low", "ids"], [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()])
-
     def later_strings(table: pa.Table) -> pa.Table:
         col = {n: table.column(n).to_pylist() for n in table.column_names}
         h, g = np.frombuffer(b"".join(col["h"]), "<u8"), np.frombuffer(b"".join(col["g"]), "<u4")
@@ -273,20 +318,32 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
         ends = np.cumsum(sizes)
         return pa.table([table.column("bucket"), table.column("pack"), pa.array([_bits(flags[e - n : e]) for e, n in zip(ends, sizes)], pa.binary())], names=["bucket", "pack", "flags"])
 
-    # Packs without shared names have no candidates, and their blobs stay where they are.
-    known = packs.join(shared, "pack", "left")
-    asked = known.mapInArrow(string_names, "bucket int, pack long, h binary, g binary, low long, ids binary")
-    later = by_pack(asked.groupBy("bucket").applyInArrow(later_strings, reply), "later")
+    reply, named = "bucket int, pack long, flags binary", "bucket int, pack long, h binary, g binary, low long, ids binary"
+
+    def by_pack(flags: DataFrame, name: str) -> DataFrame:
+        return common.materialise(flags.groupBy("pack").agg(F.collect_list(F.struct("bucket", "flags")).alias(name)), name)
+
+    def ask(found: DataFrame, run, schema: str, answer, name: str) -> DataFrame:
+        """One round: names go to their buckets, flags come back; the packs with the flags of all rounds so far."""
+        back = by_pack(found.mapInArrow(run, schema).groupBy("bucket").applyInArrow(answer, reply), name)
+        return found.join(back, "pack", "left")
+
+    found = ask(packs, piece_names, named, later_strings, "pieces")
+    found = ask(found, sample_names, "bucket int, pack long, names binary, many binary", shared_names, "shared")
+    found = ask(found, string_names, named, later_strings, "later")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                pack, starts = open_pack(r)
-                order, new, hashes = firsts(pack, starts)
-                gone = ~new
-                gone[new] = _joined(r["later"], _slices(hashes.h[new], bits))
-                begin = starts[order][gone]
+                pack, live, starts = open_strings(r)
+                order, new, names = pack.strings(starts, length)
+                again = starts[order][_later(new, names, r["later"], bits)]
                 delta = np.zeros(len(pack.data) + 1, np.int32)
+                begin, end = pack.pieces()
+                inside = np.zeros(len(pack.data) + 1, np.int32)
+                np.add.at(inside, begin, 1)
+                np.add.at(inside, end, -1)
+                begin = np.concatenate([again, np.flatnonzero((np.cumsum(inside[:-1]) > 0) & ~live)])
                 np.add.at(delta, begin, 1)
                 np.add.at(delta, begin + length, -1)
                 covered = np.cumsum(delta[:-1]) > 0
@@ -304,4 +361,4 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
                     yield _batch(rows, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_kept], [pa.int64()] * 4 + [pa.string(), pa.binary()][: 1 + with_kept])
 
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
-    return packs.join(shared, "pack", "left").join(later, "pack", "left").mapInArrow(cut, out)
+    return found.mapInArrow(cut, out)

@@ -171,7 +171,7 @@ def match(a: Node, b: Node, out: dict[int, Node], limit: int = 200) -> int:
         total = 1
         for p, q in [*zip(xs[:head], ys[:head]), *zip(xs[len(xs) - tail :], ys[len(ys) - tail :])]:
             total += p.size
-            pairs.append((p, q))
+            pairs += zip(_nodes(p), _nodes(q))
         xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
         if not xs or not ys:
             return total, pairs
@@ -189,7 +189,7 @@ def match(a: Node, b: Node, out: dict[int, Node], limit: int = 200) -> int:
                 if leaf:
                     s = (2 if p.sign == q.sign else 1) if p.tag == q.tag else 0
                 else:
-                    kept[i, j] = (p.size + 1, [(p, q)]) if p.sign == q.sign else go(p, q, depth + 1)
+                    kept[i, j] = (p.size + 1, [*zip(_nodes(p), _nodes(q))]) if p.sign == q.sign else go(p, q, depth + 1)
                     s = kept[i, j][0]
                 best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + s)
         total += best[-1][-1]

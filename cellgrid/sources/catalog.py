@@ -76,6 +76,11 @@ class Catalog:
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, f.spark_type, True) for f in self.fields])
 
+    @property
+    def ddl(self) -> str:
+        """The schema as text, which needs no session."""
+        return ", ".join(f"`{f.name}` {f.type_name if f.avro is None else f.spark_type.simpleString()}" for f in self.fields)
+
     @property
     def columns(self) -> tuple[Field, ...]:
         return tuple(f for f in self.fields if not f.is_key)

@@ -24,8 +24,8 @@ class CellSource(DataSource):
     def name(cls) -> str:
         return "cellgrid"
 
-    def schema(self) -> StructType:
-        return parse(self.options["catalog"], dict(self.options)).schema
+    def schema(self) -> str:
+        return parse(self.options["catalog"], dict(self.options)).ddl
 
     def reader(self, schema: StructType) -> DataSourceReader:
         catalog = parse(self.options["catalog"], dict(self.options))

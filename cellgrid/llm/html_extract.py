@@ -7,8 +7,7 @@ that vary are content.  Elements that HTML itself or their class names mark
 as navigation, header, footer, sidebar, notice, advert, form or reader
 comments never count as content, and an article element, where a page has
 one, bounds it.  A host with more pages than ``group_most`` is dealt out to
-several groups by the hash of the page id, each of which induces the wrapper
-from its own pages.
+several groups, each of which induces the wrapper from its own pages.
 
 Text inside a block becomes one line; blocks are joined by blank lines.
 Defined cases: a null or empty page, or one without content, has an empty
@@ -294,33 +293,43 @@ def _by_id(root: Node) -> dict[int, Node]:
     return _LAST[1]
 
 
-def extract(pages: DataFrame, group_most: int = 48) -> DataFrame:
-    """``page_id``, ``url``, ``text``, ``n_chars`` of every page."""
+def extract(pages: DataFrame, group_most: int = 48, hosts_most: int = 65_536) -> DataFrame:
+    """``page_id``, ``url``, ``text``, ``n_chars`` of every page.
+
+    Only hosts with more than 1 / ``hosts_most`` of all pages are spread over
+    several tasks; there are fewer than ``hosts_most`` of these, which bounds
+    the table that is broadcast, so the pages themselves move once.  Within a
+    task the pages of a host stream by in groups.
+    """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1))
-    rows = pages.select("page_id", "url", "html").withColumn("_host", host)
-    sizes = rows.groupBy("_host").count()
-    large = sizes.where(F.col("count") > group_most).select("_host", F.ceil(F.col("count") / group_most).cast("int").alias("_parts"))
-    # A host's count comes by a join that Spark may broadcast only if it is small enough.
-    rows = rows.join(large, "_host", "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("_parts")), F.lit(0)).cast("int"))
+    rows = pages.select("page_id", "url", "html").withColumn("_host", host).withColumn("_key", F.xxhash64("_host"))
+    share = max(group_most, -(-pages.count() // hosts_most))
+    # Hosts whose keys collide are spread together, which changes no host's pages.
+    heavy = rows.groupBy("_key").count().where(F.col("count") > share).select("_key", F.ceil(F.col("count") / share).cast("int").alias("_parts"))
+    rows = rows.join(F.broadcast(heavy), "_key", "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("_parts")), F.lit(0)).cast("int"))
     dealt = rows.select("_host", "_part", "page_id", "url", "html").repartition("_host", "_part").sortWithinPartitions("_host", "_part", "page_id", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         last = None
 
-        def close() -> pa.RecordBatch:
-            texts = induce([h or "" for _, _, h in held])
+        def close(n: int) -> pa.RecordBatch:
+            group = held[:n]
+            del held[:n]
+            texts = induce([h or "" for _, _, h in group])
             sizes = np.array([len(t) for t in texts], np.int64)
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in held], pa.int64()), pa.array([r[1] for r in held], pa.string()), pa.array(texts, pa.string()), pa.array(sizes)], names=["page_id", "url", "text", "n_chars"])
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in group], pa.int64()), pa.array([r[1] for r in group], pa.string()), pa.array(texts, pa.string()), pa.array(sizes)], names=["page_id", "url", "text", "n_chars"])
 
         for b in batches:
             for host, part, page_id, url, page in zip(*(c.to_pylist() for c in b.columns)):
-                if (host, part) != last or len(held) >= 4 * group_most:
+                if (host, part) != last:
                     if held:
-                        yield close()
-                    held, last = [], (host, part)
+                        yield close(len(held))
+                    last = (host, part)
                 held.append((page_id, url, page))
+                if len(held) >= 2 * group_most:  # what is left for the last group is no small rest
+                    yield close(group_most)
         if held:
-            yield close()
+            yield close(len(held))
 
     return dealt.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -37,6 +37,10 @@ _LATE = 1 << 40
 _CACHE_MOST = 300_000
 _BYTES_AT_ONCE = 8 << 20
 _CELLS_AT_ONCE = 1 << 18
+#: Spreads hashes (those of single characters are small) over all values; odd, so different ones stay different.
+_SPREAD = np.uint64(0xD1B54A32D192ED03)
+_GATE_BITS = 18
+_GATE_SHIFT = np.uint64(64 - _GATE_BITS)
 
 
 @dataclass
@@ -63,8 +67,13 @@ class Model:
         ids = np.concatenate([normal, np.arange(self.n, self.other)]).astype(np.int64)
         self.most = max((len(t) for t in texts), default=1)
         h = np.array([_hash(self.texts[i]) for i in ids], np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.keys, self.key_ids = h[order], ids[order]
+        order = np.argsort(h * _SPREAD, kind="stable")
+        self.keys, self.key_ids = (h * _SPREAD)[order], ids[order]
+        filled = np.bincount((self.keys >> _GATE_SHIFT).astype(np.int64), minlength=1 << _GATE_BITS)
+        self.gate, self.deepest = filled > 0, int(filled.max())
+        self.first_key = np.minimum(np.cumsum(filled) - filled, len(self.keys) - 1).astype(np.int32)
+        self.keys = np.append(self.keys, self.keys[-1:].repeat(self.deepest))
+        self.key_ids = np.append(self.key_ids, self.key_ids[-1:].repeat(self.deepest))
         if len(np.unique(h)) < len(h):
             raise ValueError("two pieces have the same hash")
         self.hashes = np.zeros(len(self.texts), np.uint64)
@@ -107,8 +116,25 @@ class Model:
 
     def lookup(self, h: np.ndarray) -> np.ndarray:
         """Token of each hash, or -1."""
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return np.where(self.keys[at] == h, self.key_ids[at], -1)
+        out = np.full(len(h), -1, np.int64)
+        at, tokens = self.probe(h)
+        out[at] = tokens
+        return out
+
+    def probe(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the hashes of pieces are in ``h``, and their tokens.
+
+        A table of the keys' upper bits turns most other hashes away and says
+        where among the sorted keys the search for the rest begins.
+        """
+        h = h * _SPREAD
+        maybe = np.flatnonzero(self.gate[h >> _GATE_SHIFT])
+        h = h[maybe]
+        at = self.first_key[h >> _GATE_SHIFT]
+        for _ in range(self.deepest - 1):
+            at = at + (self.keys[at] < h)
+        hit = self.keys[at] == h
+        return maybe[hit], self.key_ids[at[hit]]
 
     def stands(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the merges leave tokens ``a`` and ``b`` side by side."""
@@ -130,60 +156,78 @@ class Model:
         return out
 
     def segment(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words of one length, all at once."""
+        """Ids of each of the words, which have one length."""
+        ids, counts = self.segments(words)
+        return np.split(ids, np.cumsum(counts)[:-1])
+
+    def segments(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of one length, all at once: one behind the other, and each word's number of ids."""
         n, size = len(words), len(words[0])
         code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(n, size).astype(np.uint64)
-        h = np.zeros((n, size + 1), np.uint64)
+        # One row for each prefix, one column for each word, so that all steps run along rows.
+        code = np.ascontiguousarray(code.T)
+        h = np.zeros((size + 1, n), np.uint64)
         for k in range(size):
-            h[:, k + 1] = h[:, k] * _BASE + code[:, k] + np.uint64(1)
-        back = np.zeros((n, size + 1), np.int64)
-        last = np.zeros((n, size + 1), np.int64)
-        last[:, 0] = -1
-        best = np.zeros((n, size + 1))
+            h[k + 1] = h[k] * _BASE + code[k] + np.uint64(1)
+        back = np.zeros((size + 1, n), np.int64)
+        last = np.full((size + 1, n), -1, np.int64)
+        best = np.zeros((size + 1, n))
         low = float(self.scores.min(initial=0)) - 10
+        every = np.arange(n)
         for end in range(1, size + 1):
             most = min(end, self.most)
-            sizes = np.arange(1, most + 1)
-            begin = end - sizes
-            found = self.lookup((h[:, end : end + 1] - h[:, begin] * self.powers[sizes]).ravel()).reshape(n, most)
-            found[:, 0] = np.where(found[:, 0] < 0, self.other, found[:, 0])
-            ok = found >= 0
+            keys = h[end] - h[end - most : end][::-1] * self.powers[1 : most + 1, None]
+            at, token = self.probe(keys.ravel())
+            c, r = np.divmod(at, n)
+            found = np.empty((most, n), np.int64)
+            found[0] = self.other
+            found[c, r] = token
+            lone = np.ones(n, bool)
+            lone[r[c == 0]] = False
+            lone = np.flatnonzero(lone)
+            r, c = np.concatenate([r, lone]), np.concatenate([c, np.zeros(len(lone), np.int64)])
+            token = np.concatenate([token, np.full(len(lone), self.other)])
             if self.bpe:
-                ok &= self.proper[found]
-                r, c = np.nonzero(ok)
-                before = last[r, begin[c]]
+                good = self.proper[token]
+                r, c, token = r[good], c[good], token[good]
+                before = last[end - 1 - c, r]
                 inner = before >= 0
                 good = np.ones(len(r), bool)
-                good[inner] = self.stands(before[inner], found[r[inner], c[inner]])
-                ok[r[~good], c[~good]] = False
-                value = np.where(ok, sizes.astype(float), -1)
+                good[inner] = self.stands(before[inner], token[inner])
+                value = np.full((most, n), -1, np.int16)
+                value[c[good], r[good]] = c[good]
             else:
-                score = np.where(found < self.n, self.scores[np.minimum(found, self.n - 1)], low)
-                value = np.where(ok, best[:, begin] + score, -np.inf)
-            pick = value.argmax(1)
-            rows = np.arange(n)
-            back[:, end], last[:, end], best[:, end] = pick + 1, found[rows, pick], value[rows, pick]
-        if not (last >= self.n).any():  # the usual case: follow the back pointers of all words together
-            end, steps = np.full(n, size), []
-            while end.any():
-                steps.append(np.where(end > 0, last[np.arange(n), end], -1))
-                end = end - back[np.arange(n), end]
-            flat = np.array(steps[::-1], np.int32).T
-            return [x[x >= 0] for x in flat]
-        out = []
-        for r in range(n):
-            ids, end = [], size
-            while end:
-                t = int(last[r, end])
-                start = end - int(back[r, end])
-                if t >= self.n:
-                    raw = words[r][start:end].encode("utf-8", "replace")
-                    ids.extend(reversed([self.bytes_of[x] for x in raw] if self.byte_fallback and self.bytes_of else [self.unknown]))
-                else:
-                    ids.append(t)
-                end = start
-            out.append(np.array(ids[::-1], np.int32))
-        return out
+                score = np.where(token < self.n, self.scores[np.minimum(token, self.n - 1)], low)
+                value = np.full((most, n), -np.inf)
+                value[c, r] = best[end - 1 - c, r] + score
+            pick = value.argmax(0)
+            back[end], last[end] = pick + 1, found[pick, every]
+            if not self.bpe:
+                best[end] = value[pick, every]
+        end, tokens, begins = np.full(n, size), [], []
+        while end.any():  # follow the back pointers of all words together
+            tokens.append(np.where(end > 0, last[end, every], -1))
+            end = end - back[end, every]
+            begins.append(end)
+        token = np.array(tokens[::-1]).T
+        used = token >= 0
+        counts, ids = used.sum(1), token[used]
+        odd = np.flatnonzero(ids >= self.n)
+        if not len(odd):
+            return ids.astype(np.int32), counts
+        word = np.repeat(every, counts)
+        chars, which = np.unique(code[np.array(begins[::-1]).T[used][odd], word[odd]], return_inverse=True)
+        spelled = [self._spelled(chr(int(x))) for x in chars]
+        sizes = np.ones(len(ids), np.int64)
+        sizes[odd] = np.array([len(x) for x in spelled])[which]
+        out = np.repeat(ids, sizes)
+        out[np.repeat(np.isin(np.arange(len(ids)), odd), sizes)] = np.concatenate([spelled[k] for k in which])
+        return out.astype(np.int32), np.bincount(word, weights=sizes, minlength=n).astype(np.int64)
+
+    def _spelled(self, char: str) -> np.ndarray:
+        """Ids of a character without a piece."""
+        known = self.byte_fallback and self.bytes_of
+        return np.array([self.bytes_of[x] for x in char.encode("utf-8", "replace")] if known else [self.unknown], np.int64)
 
     def space_run(self, count: int) -> list[int]:
         """Ids of a run of space marks: the best-scored, then leftmost merges, one by one."""
@@ -234,29 +278,51 @@ def load(path: str) -> Model:
 class Codec:
     def __init__(self, model: Model) -> None:
         self.m = model
-        self.cache: dict[str, np.ndarray] = {}
+        # Known words, by number; the ids of word k are the counts[k] ones from starts[k] on.
+        self.cache: dict[str, int] = {}
+        self.known, self.starts, self.counts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
         texts = [bytes([int(p[3:5], 16)]) if k == 6 else b"" if k == 3 else b" \xe2\x81\x87 " if k == 2 else p.replace(_MARK, " ").encode() for p, k in zip(model.pieces, model.kinds)]
         self.table = pa.array(texts, pa.large_binary())
         self.sizes = np.array([len(t) for t in texts], np.int64)
 
+    def _keep(self, words: list[str]) -> None:
+        """Forget all words but these."""
+        words = [w for w in words if w in self.cache]
+        number = np.array([self.cache[w] for w in words], np.int64)
+        self.known, self.counts = _gather(self.known, self.starts[number], self.counts[number]), self.counts[number]
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.cache = {w: k for k, w in enumerate(words)}
+
     def _fill(self, words: list[str]) -> None:
         """Segment the words that are not known yet, those of equal length together."""
-        if len(self.cache) + len(words) > _CACHE_MOST:
-            self.cache.clear()
-        new: dict[int, list[tuple[str, str]]] = {}
-        for w in words:
-            if w not in self.cache:
-                # A word after a line feed has no space mark.
-                body = w[1:] if w[:1] == "\n" else _MARK + w
-                new.setdefault(len(body), []).append((w, body))
+        new = [w for w in words if w not in self.cache]
+        if not new:
+            return
+        if len(self.cache) + len(new) > _CACHE_MOST:
+            self._keep(words)
         feed = self.m.segment(["\n"])[0]
-        for size, group in new.items():
-            step = max(1, _CELLS_AT_ONCE // (max(size, 1) * self.m.most))
-            for k in range(0, len(group), step):
-                part = group[k : k + step]
-                found = self.m.segment([b for _, b in part]) if size else [np.empty(0, np.int32)] * len(part)
-                for (w, _), ids in zip(part, found):
-                    self.cache[w] = np.concatenate([feed, ids]) if w[:1] == "\n" else ids
+        ids, counts = [self.known], [self.counts]
+        # A word after a line feed has no space mark.
+        for fed, mark in ((False, _MARK), (True, "")):
+            part = [w for w in new if (w[:1] == "\n") == fed]
+            sizes = np.fromiter(map(len, part), np.int64, len(part))
+            order = np.argsort(sizes, kind="stable")
+            part, sizes = [part[k] for k in order.tolist()], sizes[order]
+            at = 0
+            while at < len(part):
+                cells = max(1, int(sizes[at])) * self.m.most
+                end = min(int(np.searchsorted(sizes, sizes[at], side="right")), at + max(1, _CELLS_AT_ONCE // cells))
+                bodies = [mark + w[fed:] for w in part[at:end]]
+                got, n = self.m.segments(bodies) if bodies[0] else (np.empty(0, np.int32), np.zeros(len(bodies), np.int64))
+                if fed:
+                    got = np.insert(got, np.repeat(np.cumsum(n) - n, len(feed)), np.tile(feed, len(n)))
+                    n = n + len(feed)
+                ids.append(got)
+                counts.append(n)
+                at = end
+            self.cache.update(zip(part, range(len(self.cache), len(self.cache) + len(part))))
+        self.known, self.counts = np.concatenate(ids), np.concatenate(counts)
+        self.starts = np.cumsum(self.counts) - self.counts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the offsets of each text (null as empty)."""
@@ -274,13 +340,10 @@ class Codec:
             return np.empty(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         words = coded.dictionary.to_pylist()
         self._fill(words)
-        ids = [self.cache[w] for w in words]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        table, first = np.concatenate(ids), np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        code = coded.indices.to_numpy()
-        each = sizes[code]
+        code = np.fromiter(map(self.cache.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        each = self.counts[code]
         ends = np.cumsum(each)
-        out = table[np.arange(int(ends[-1])) - np.repeat(ends - each - first[code], each)]
+        out = _gather(self.known, self.starts[code], each)
         offsets = np.concatenate(([0], np.concatenate(([0], ends))[np.cumsum(counts)]))
         return self._join_spaces(out, offsets)
 
@@ -312,6 +375,12 @@ class Codec:
         return [t[1:] if t.startswith(" ") else t for t in out]
 
 
+def _gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The ``counts`` values from each of ``starts`` on, one behind the other."""
+    ends = np.cumsum(counts)
+    return values[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + counts, counts)]
+
+
 _CODECS: dict[str, Codec] = {}
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import mixing, pii, quality, queries, sentencepiece, simhash
+from cellgrid.llm import jaccard, mixing, pii, quality, queries, sentencepiece
 from cellgrid.llm.common import materialise, read
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,10 +21,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document whose id names its group stays; ids are unique in ``documents``."""
-    found = simhash.near_duplicates(docs)
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Of documents linked by Jaccard >= 0.8 over five-word shingles the smallest id stays; ids are unique in ``documents``."""
+    stay = docs.join(jaccard.kept_ids(docs), "doc_id", "left_semi").select(*COLUMNS)
+    return stay.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +44,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
-    ("SimHash near-dedup", near_dedup),
+    ("near-dedup by Jaccard", near_dedup),
     ("PII", personal_data),
     ("mixing to target weights", mix),
     ("SentencePiece encoding", tokens),

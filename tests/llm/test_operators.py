@@ -164,6 +164,14 @@ def test_secrets(docs):
     assert "endpoint" not in secrets.scan(docs.sparkSession.sql("SELECT 1L AS doc_id, 'see https://only.example.org now' AS text")).first().spans
 
 
+def test_secrets_far_apart(spark):
+    far = "user_id = bob\n" + "# a setting that means nothing\n" * 40 + "pwd = hunter22\n"
+    alone = "user_id = bob\n" + "# a setting that means nothing\n" * 40
+    rows = secrets.scan(spark.createDataFrame([(1, far), (2, alone), (3, None)], "doc_id long, text string")).collect()
+    a = far.index("pwd")
+    assert {r.doc_id: r.spans for r in rows} == {1: f"ident:0:13,secret:{a}:{a + 14}", 2: "", 3: ""}
+
+
 def test_sentencepiece(docs):
     public = pytest.importorskip("public_tokenizers")
     import sentencepiece as library

@@ -172,6 +172,14 @@ def test_secrets_far_apart(spark):
     assert {r.doc_id: r.spans for r in rows} == {1: f"ident:0:13,secret:{a}:{a + 14}", 2: "", 3: ""}
 
 
+def test_secrets_long_values(spark):
+    ident, key, url = "user=" + "u" * 300, "private_key=" + "aB3/" * 86, "https://x.example/?sig=" + "f7-" * 400
+    text = f"{ident} {key} {url} end"
+    a, b = len(ident) + 1, len(ident) + len(key) + 2
+    got = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().spans
+    assert got == f"ident:0:{len(ident)},secret:{a}:{a + len(key)},endpoint:{b}:{b + len(url)}"
+
+
 def test_sentencepiece(docs):
     public = pytest.importorskip("public_tokenizers")
     import sentencepiece as library

@@ -105,7 +105,8 @@ def find_splitters(keys: DataFrame, shards: int, tolerance: float = 0.002, bins:
                     below += size
                 before, after = target - below, below + size - target
                 if least == most or min(before, after) <= min(slack, longest):
-                    done[k] = Splitter(h, least if before <= after else most + 1)
+                    cut = least if before <= after else most + 1
+                    done[k] = Splitter(h, cut) if cut < 1 << 63 else Splitter(h + 1)  # behind the largest long: behind the group
                     del groups[k]
                 else:
                     groups[k] = (h, least, most + 1, below)
@@ -113,16 +114,24 @@ def find_splitters(keys: DataFrame, shards: int, tolerance: float = 0.002, bins:
 
 
 def _counts_of_ids(keys: DataFrame, h: int, ranges: list[tuple[int, int]], bins: int) -> dict[tuple[int, int], list]:
-    """As ``_counts``, for the ids of one group; a first range over all ids is cut to those that occur."""
-    mine = F.col("h") == F.lit(h)
-    low, high = keys.where(mine).agg(F.min("id"), F.max("id")).first()
-    cut = {r: (max(r[0], low), min(r[1], high + 1)) for r in ranges}
-    shifted = keys.withColumn("id0", F.col("id") - F.lit(low)) if high - low < (1 << 62) else keys.withColumn("id0", F.shiftrightunsigned("id", 1))
-    if high - low >= (1 << 62):  # ids spread over all longs: order them by their upper bits first, then exactly
-        rows = shifted.where(mine).groupBy((F.floor(F.col("id") / F.lit(1 << 53))).alias("bin")).agg(F.sum("size").alias("bytes"), F.min("id").alias("low"), F.max("id").alias("high")).collect()
-        return {r: sorted((x.low, x.high, x.bytes) for x in rows if x.low >= cut[r][0] and x.high < cut[r][1]) for r in ranges}
-    got = _counts(shifted, "id0", sorted({(a - low, b - low) for a, b in cut.values()}), mine, bins)
-    return {r: [(a + low, b + low, s) for a, b, s in got[cut[r][0] - low, cut[r][1] - low]] for r in ranges}
+    """As ``_counts``, for the ids of one group, which may be any longs.
+
+    Bins are aligned cells, at most ``bins`` of a range, so nothing is
+    subtracted; a range cut to the ids of one cell has smaller cells, down to
+    single ids.
+    """
+    out: dict[tuple[int, int], list] = {r: [] for r in ranges}
+    which, cell = F.lit(None).cast("int"), F.lit(None).cast("long")
+    for k, (low, high) in enumerate(ranges):
+        shift = next(s for s in range(65) if ((high - 1) >> s) - (low >> s) < bins)
+        inside = (F.col("id") >= F.lit(low)) & (F.col("id") <= F.lit(high - 1))
+        which = F.when(inside, F.lit(k)).otherwise(which)
+        cell = F.when(inside, F.shiftright("id", shift)).otherwise(cell)
+    rows = keys.where(F.col("h") == F.lit(h)).select(which.alias("k"), cell.alias("cell"), "id", "size").where("k IS NOT NULL")
+    found = rows.groupBy("k", "cell").agg(F.sum("size").alias("bytes"), F.min("id").alias("low"), F.max("id").alias("high"))
+    for r in found.collect():  # len(ranges) * bins rows at most
+        out[ranges[r.k]].append((r.low, r.high, r.bytes))
+    return {k: sorted(v) for k, v in out.items()}
 
 
 def shard(docs: DataFrame, shards: int = 8, text: str = "text", key: str = "doc_id", tolerance: float = 0.002, spread: int = 256) -> DataFrame:

@@ -104,6 +104,19 @@ def test_sharding(docs):
     assert sharding.shard(docs.limit(0)).count() == 0
 
 
+def test_sharding_of_a_group_with_ids_over_all_longs(spark):
+    texts = "concat('text ', cast(id AS string), repeat('y', 20))"
+    rows = spark.range(600).selectExpr("id AS doc_id", f"CASE WHEN id < 300 THEN repeat('x', 40) ELSE {texts} END AS text")
+    wide = rows.selectExpr("CASE WHEN text LIKE 'x%' THEN xxhash64(doc_id) ELSE doc_id END AS doc_id", "text")
+    ends = spark.sql("SELECT explode(array(NULL, -9223372036854775808L, 9223372036854775807L)) AS doc_id, repeat('x', 40) AS text")
+    for df in (rows.unionByName(ends.limit(1)), wide.unionByName(ends)):
+        out = sharding.shard(df, 4, spread=8).collect()
+        sizes = collections.Counter()
+        for r in out:
+            sizes[r.shard] += r["size"]
+        assert len(out) == df.count() and len(sizes) == 4 and max(sizes.values()) - sum(sizes.values()) / 4 <= 41
+
+
 def test_suffix_dedup(unique):
     seen, want = set(), {}
     for r in sorted(unique.collect(), key=lambda r: r.doc_id):

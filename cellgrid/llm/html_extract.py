@@ -41,7 +41,8 @@ _ROLE = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|head
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?:>|$)", re.S)
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
-_ATTR = re.compile(r"([A-Za-z_:][^\s=/>]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_SPACE = re.compile(r"[\s/][^\s/>]")
+_ATTR = re.compile(r"([A-Za-z_:][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")  # hidden has no value
 
 
 class Node:
@@ -95,7 +96,7 @@ def parse(page: str) -> Node:
                     break
                 if stack[k].tag in {"ul", "ol", "dl", "table", "select"}:
                     break
-        attrs = {} if " " not in raw or tag == "a" else {a.lower(): b or c or d for a, b, c, d in _ATTR.findall(raw)}
+        attrs = {} if not _SPACE.search(raw) else {a.lower(): b or c or d for a, b, c, d in _ATTR.findall(raw, _NAME.match(raw).end())}
         marked = f"{attrs.get('class', '')} {attrs.get('id', '')}"
         dropped = tag in DROPPED or "hidden" in attrs or attrs.get("role", "").lower() in _ROLES or attrs.get("aria-hidden") == "true"
         node = Node(tag, dropped or (tag not in ("html", "body", "main", "article") and bool(_ROLE.search(marked))))
@@ -145,67 +146,86 @@ def _content_root(root: Node) -> Node:
     return max(found, key=lambda n: n.size, default=root)
 
 
-def match(a: Node, b: Node, out: dict[int, Node], limit: int = 200) -> int:
+def match(a: Node, b: Node, out: dict[int, Node]) -> int:
     """Simple tree matching: the most nodes in an order-keeping mapping; ``out`` maps ids of a's nodes to b's.
 
-    Children of nodes with more than ``limit`` children, and of nodes that
-    lie deeper than 60, are aligned in order of place only.
+    Scores of all pairs of nodes come first, each once and without recursion;
+    then the mapping is traced from the top.  Lists of children are aligned
+    whole, whatever their length and depth; equal heads and tails at once.
     """
+    kids: dict[int, list[Node]] = {}
+    scores: dict[tuple[int, int], int] = {}
 
-    def go(x: Node, y: Node, depth: int) -> tuple[int, list[tuple[Node, Node]]]:
-        if x.tag != y.tag:
-            return 0, []
-        xs = [c for c in x.children if isinstance(c, Node) and not c.dropped]
-        ys = [c for c in y.children if isinstance(c, Node) and not c.dropped]
-        pairs = [(x, y)]
-        if not xs or not ys or depth > 60:
-            return 1, pairs
-        # Equal heads and tails align at once.
+    def below(n: Node) -> list[Node]:
+        if id(n) not in kids:
+            kids[id(n)] = [c for c in n.children if isinstance(c, Node) and not c.dropped]
+        return kids[id(n)]
+
+    def ends(x: Node, y: Node) -> tuple[list[Node], list[Node], list[tuple[Node, Node]]]:
+        xs, ys = below(x), below(y)
+        most = min(len(xs), len(ys))
         head = 0
-        while head < min(len(xs), len(ys)) and xs[head].sign == ys[head].sign:
+        while head < most and xs[head].sign == ys[head].sign:
             head += 1
         tail = 0
-        while tail < min(len(xs), len(ys)) - head and xs[-1 - tail].sign == ys[-1 - tail].sign:
+        while tail < most - head and xs[-1 - tail].sign == ys[-1 - tail].sign:
             tail += 1
-        total = 1
-        for p, q in [*zip(xs[:head], ys[:head]), *zip(xs[len(xs) - tail :], ys[len(ys) - tail :])]:
-            total += p.size
-            pairs += zip(_nodes(p), _nodes(q))
-        xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
-        if not xs or not ys:
-            return total, pairs
-        if len(xs) * len(ys) > limit * limit:
-            for p, q in zip(xs, ys):
-                s, more = go(p, q, depth + 1)
-                total += s
-                pairs += more
-            return total, pairs
-        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        leaf = all(not any(isinstance(c, Node) for c in n.children) for n in (*xs, *ys))
-        kept: dict[tuple[int, int], tuple[int, list]] = {}
+        equal = [*zip(xs[:head], ys[:head]), *zip(xs[len(xs) - tail :], ys[len(ys) - tail :])]
+        return xs[head : len(xs) - tail], ys[head : len(ys) - tail], equal
+
+    def value(p: Node, q: Node) -> int | None:
+        """The score of a pair, or None where its children have to be aligned first."""
+        if p.tag != q.tag:
+            return 0
+        if p.sign == q.sign:
+            return p.size + 1
+        if not below(p) or not below(q):
+            return 1
+        return scores.get((id(p), id(q)))
+
+    def align(xs: list[Node], ys: list[Node], moves: bytearray | None) -> int:
+        row = [0] * (len(ys) + 1)
         for i, p in enumerate(xs):
+            new = [0]
             for j, q in enumerate(ys):
-                if leaf:
-                    s = (2 if p.sign == q.sign else 1) if p.tag == q.tag else 0
-                else:
-                    kept[i, j] = (p.size + 1, [*zip(_nodes(p), _nodes(q))]) if p.sign == q.sign else go(p, q, depth + 1)
-                    s = kept[i, j][0]
-                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + s)
-        total += best[-1][-1]
-        i, j = len(xs), len(ys)
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                pairs += [(xs[i], ys[j])] if leaf else kept[i, j][1]
-        return total, pairs
-
-    score, pairs = go(a, b, 0)
-    out.update((id(p), q) for p, q in pairs)
-    return score
+                up, left, both = row[j + 1], new[j], row[j] + value(p, q)
+                best = max(up, left, both)
+                new.append(best)
+                if moves is not None:
+                    moves[i * len(ys) + j] = 0 if best == up else 1 if best == left else 2
+            row = new
+        return row[-1]
+
+    todo = [(a, b, False)] if a.tag == b.tag else []
+    while todo:
+        x, y, ready = todo.pop()
+        if (id(x), id(y)) in scores:
+            continue
+        xs, ys, equal = ends(x, y)
+        if not ready:
+            todo.append((x, y, True))
+            todo.extend((p, q, False) for p in xs for q in ys if value(p, q) is None)
+        else:
+            scores[id(x), id(y)] = 1 + sum(p.size for p, _ in equal) + (align(xs, ys, None) if xs and ys else 0)
+    trace = [(a, b)] if a.tag == b.tag else []
+    while trace:
+        x, y = trace.pop()
+        out[id(x)] = y
+        if x.sign == y.sign:
+            out.update((id(p), q) for p, q in zip(_nodes(x), _nodes(y)))
+            continue
+        xs, ys, equal = ends(x, y)
+        trace += equal
+        if xs and ys:
+            moves = bytearray(len(xs) * len(ys))
+            align(xs, ys, moves)
+            i, j = len(xs), len(ys)
+            while i and j:
+                move = moves[(i - 1) * len(ys) + j - 1]
+                if move == 2:
+                    trace.append((xs[i - 1], ys[j - 1]))
+                i, j = i - (move != 1), j - (move != 0)
+    return scores.get((id(a), id(b)), 0)
 
 
 def text_of(root: Node, template: set[int]) -> str:

@@ -246,6 +246,20 @@ def test_html(spark):
     assert len(html_extract.extract(spark.createDataFrame(rows * 3, "page_id long, url string, html string"), 4).collect()) == 33
 
 
+def test_html_long_deep_and_marked():
+    def page(k, shift):
+        rows = [f"<p>row {k} {i}</p>" for i in range(300 + shift)]
+        rows.insert(150 + shift, "<p>All rights kept here</p>")
+        return f"<body><div>{''.join(rows)}</div></body>"
+
+    long = html_extract.induce([page(k, k % 3) for k in range(6)])
+    assert all("rights" not in t and t.startswith(f"row {k} 0") for k, t in enumerate(long))
+    deep = html_extract.induce([f"<body>{'<div>' * 1500}<p>Same line</p><p>text {k}</p>" for k in range(6)])
+    assert deep == [f"text {k}" for k in range(6)]
+    marked = html_extract.induce(["<body><p>kept <a class='ad' href=/x>Buy</a><a hidden href=/y>No</a></p><div\nclass='sidebar'>Side</div>"])
+    assert marked == ["kept"]
+
+
 def test_ann(spark):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((600, 24)).round(3)

@@ -6,6 +6,7 @@ import io
 import json
 import struct
 from collections.abc import Callable
+from functools import lru_cache
 from typing import Any
 
 from pyspark.sql import types as T
@@ -115,6 +116,7 @@ def _fits(v: Any, schema: Any) -> bool:
     return True
 
 
+@lru_cache(maxsize=256)
 def codec(schema_text: str) -> tuple[Callable[[Any], bytes], Callable[[bytes], Any]]:
     """Encoder and decoder for one declared schema."""
     root, names = json.loads(schema_text), {}

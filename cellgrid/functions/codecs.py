@@ -11,10 +11,12 @@ import json
 from abc import ABC, abstractmethod
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 _INTS = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8}
 
@@ -55,33 +57,31 @@ class Codec(ABC):
         return out
 
 
-def _unsigned(cell: Column, width: int) -> Column:
-    return F.conv(F.hex(F.substring(cell, 1, width)), 16, 10).cast("decimal(20,0)")
-
-
 def _float_codec(kind: T.DataType, ordered: bool) -> tuple:
     f, i = (">f4", ">u4") if isinstance(kind, T.FloatType) else (">f8", ">u8")
     top = np.uint64(1 << (31 if f == ">f4" else 63))
     native = np.uint32 if f == ">f4" else np.uint64
 
-    @F.pandas_udf(T.BinaryType())
-    def put(s: pd.Series) -> pd.Series:
-        null = s.isna() & s.map(lambda x: x is None)
-        bits = s.astype(f[1:]).to_numpy().astype(f).view(i).astype(native)
+    width = int(f[2])
+
+    @F.arrow_udf(T.BinaryType())
+    def put(x: pa.Array) -> pa.Array:
+        null = x.is_null().to_numpy(zero_copy_only=False)
+        bits = x.fill_null(0.0).to_numpy(zero_copy_only=False).astype(f).view(i).astype(native)
         if ordered:
             bits = np.where(bits & native(top), ~bits, bits | native(top)).astype(native)
-        raw = bits.astype(i).tobytes()
-        n = int(f[2])
-        return pd.Series([None if z else raw[k * n : k * n + n] for k, z in enumerate(null)])
-
-    @F.pandas_udf(kind)
-    def get(s: pd.Series) -> pd.Series:
-        n = int(f[2])
-        raw = b"".join(bytes(n) if x is None else bytes(x) for x in s)
-        bits = np.frombuffer(raw, i).astype(native)
+        ends = np.arange(len(bits) + 1, dtype=np.int32) * width
+        full = pa.Array.from_buffers(pa.binary(), len(bits), [None, pa.py_buffer(ends), pa.py_buffer(bits.astype(i).tobytes())])
+        return pc.if_else(pa.array(null), pa.scalar(None, pa.binary()), full)
+
+    @F.arrow_udf(kind)
+    def get(x: pa.Array) -> pa.Array:
+        null = x.is_null().to_numpy(zero_copy_only=False)
+        x = x.cast(pa.binary()).fill_null(bytes(width))
+        bits = np.frombuffer(b"".join(x.to_pylist()), i).astype(native)
         if ordered:
             bits = np.where(bits & native(top), bits & ~native(top), ~bits).astype(native)
-        return pd.Series(bits.astype(i).view(f).astype(f[1:]))
+        return pa.array(bits.astype(i).view(f).astype(f[1:]), mask=null)
 
     return put, lambda c: F.when(c.isNotNull(), get(c))
 
@@ -111,9 +111,11 @@ class Primitive(Codec):
     def decode(self, cell: Column, kind: T.DataType, avro: str | None = None) -> Column:
         if type(kind) in _INTS:
             width = _INTS[type(kind)]
-            u, half = _unsigned(cell, width), 1 << (8 * width - 1)
-            signed = u - F.expr(f"{half}BD") if self.ordered else F.when(u >= F.expr(f"{half}BD"), u - F.expr(f"{2 * half}BD")).otherwise(u)
-            return signed.cast(kind)
+            u, half = F.conv(F.hex(F.substring(cell, 1, width)), 16, -10).cast("bigint"), 1 << (8 * width - 1)
+            if width == 8:
+                return u.bitwiseXOR(F.lit(-half)) if self.ordered else u
+            # Flipping the sign bit and taking it away again extends the sign.
+            return ((u if self.ordered else u.bitwiseXOR(F.lit(half))) - F.lit(half)).cast(kind)
         if isinstance(kind, T.BooleanType):
             return F.hex(F.substring(cell, 1, 1)) != "00"
         if isinstance(kind, (T.FloatType, T.DoubleType)):
@@ -181,9 +183,10 @@ class AvroCodec(Codec):
 
         schema = avro or json.dumps(A.from_spark(kind))
 
-        @F.udf(T.BinaryType(), useArrow=True)
-        def put(v):  # values of nested types keep their Python form in Arrow-batched functions
-            return None if v is None else A.codec(schema)[0](v.asDict(True) if hasattr(v, "asDict") else v)
+        @F.arrow_udf(T.BinaryType())
+        def put(x: pa.Array) -> pa.Array:
+            one = A.codec(schema)[0]
+            return pa.array([None if v is None else one(v) for v in x.to_pylist()], pa.binary())
 
         return put(value)
 
@@ -192,9 +195,12 @@ class AvroCodec(Codec):
 
         schema = avro or json.dumps(A.from_spark(kind))
 
-        @F.udf(kind, useArrow=True)
-        def get(raw):
-            return None if raw is None else A.codec(schema)[1](bytes(raw))
+        target = to_arrow_type(kind)
+
+        @F.arrow_udf(kind)
+        def get(x: pa.Array) -> pa.Array:
+            one = A.codec(schema)[1]
+            return pa.array([None if raw is None else one(raw) for raw in x.to_pylist()], target)
 
         return get(cell)
 

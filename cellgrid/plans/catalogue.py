@@ -300,4 +300,4 @@ def join_with_parquet(spark, sf_dir):
 def compacted_snapshot(spark, sf_dir):
     table = orders(spark, sf_dir)
     table.compact()
-    return table.snapshot(("and", (">=", "o_orderkey", 200), ("<=", "o_orderkey", 400))).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return table.read(("and", (">=", "o_orderkey", 200), ("<=", "o_orderkey", 400)))

@@ -1,18 +1,28 @@
 """Catalogued tables: cells in Parquet, dealt out by key regions, read as typed DataFrames.
 
 A cell is (typed key columns, rowkey, family, qualifier, ts, batch, seq,
-value).  Writing appends cells; reading reduces them to the versions asked
-for and decodes them.  Typed key columns are part of the grouping, so
-predicates on keys pass below it into partition and row-group pruning.
+value).  Each write appends a folder of cells; reading reduces them to the
+versions asked for and decodes them.  Typed key columns are part of the
+grouping, so predicates on keys pass below it into partition and row-group
+pruning.
+
+``compact`` writes the newest values as a typed snapshot.  From then on a
+read of newest values scans the snapshot and reduces cells only for the keys
+that were written after it.  The manifest says which snapshot counts and
+which writes it holds; it is replaced by renaming a whole file, so readers
+see the state before a change or after it.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import time
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +33,8 @@ from cellgrid.sources.catalog import Catalog, Field, parse
 #: The cell that keeps a row without other cells in being.
 _MARKER = ""
 
+log = logging.getLogger("cellgrid.table")
+
 
 class RegionNumberError(ValueError):
     """A new table needs more than three regions."""
@@ -80,17 +92,38 @@ class Table:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _exists(self, path: str) -> bool:
+    def _names(self, path: str) -> list[str]:
+        """Names in a folder, sorted; a missing folder is empty."""
         fs, p = self._fs(path)
-        return fs.exists(p)
+        return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
 
     def exists(self) -> bool:
-        return self._exists(f"{self.path}/manifest")
+        return any(n.endswith(".json") for n in self._names(f"{self.path}/manifest"))
 
     def manifest(self) -> dict:
-        if not self.exists():
+        """``splits``, ``retain``, ``snapshot`` (its folder or none), ``holds`` (the writes in it), ``fields`` (as it was typed)."""
+        found = [n for n in self._names(f"{self.path}/manifest") if n.endswith(".json")]
+        if not found:
             raise FileNotFoundError(f"no table at {self.path}")
-        return json.loads(self.spark.read.text(f"{self.path}/manifest", wholetext=True).first()[0])
+        fs, p = self._fs(f"{self.path}/manifest/{found[-1]}")
+        stream = fs.open(p)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _publish(self, manifest: dict) -> None:
+        """A new manifest under the next number; older ones stay until the table is dropped."""
+        old = [n for n in self._names(f"{self.path}/manifest") if n.endswith(".json")]
+        number = int(old[-1].split(".")[0]) + 1 if old else 0
+        fs, part = self._fs(f"{self.path}/manifest/.{uuid.uuid4().hex}")
+        stream = fs.create(part)
+        try:
+            stream.write(json.dumps(manifest).encode())
+        finally:
+            stream.close()
+        if not fs.rename(part, self._fs(f"{self.path}/manifest/{number:012d}.json")[1]):
+            raise RuntimeError(f"another writer changed the manifest of {self.path}")
 
     def drop(self) -> None:
         fs, p = self._fs(self.path)
@@ -120,22 +153,49 @@ class Table:
 
     @staticmethod
     def region_of(key: Column, splits: list[bytes]) -> Column:
-        out = F.lit(0)
-        for s in splits:
-            out = out + (key >= F.lit(bytearray(s))).cast("int")
-        return out
-
-    def create(self, regions: int | None = None, retain: int | None = None) -> None:
-        """The manifest: split points and how many versions are kept."""
+        """The number of splits that are not above ``key``, by halving."""
+
+        def among(low: int, high: int) -> Column:
+            if low == high:
+                return F.lit(low)
+            mid = (low + high) // 2
+            return F.when(key >= F.lit(bytearray(splits[mid])), among(mid + 1, high)).otherwise(among(low, mid))
+
+        return among(0, len(splits))
+
+    def key_bytes(self, *values: object) -> bytes:
+        """The row key of typed values (of the first key parts, at least), as it is stored."""
+        parts = self.catalog.keys[: len(values)]
+        raw = [self._codec(k).literal(v, k.spark_type) for k, v in zip(parts, values)]
+        if any(r is None for r in raw):
+            raise ValueError(f"{values} can't be written as keys that keep their order")
+        return b"".join(raw)
+
+    def points_of(self, df: DataFrame, regions: int, sample: int = 100_000) -> list[bytes]:
+        """``regions - 1`` split points that deal the keys of ``df`` out evenly, from about ``sample`` of its rows."""
+        columns = {k.name: F.col(k.name).cast(k.spark_type) for k in self.catalog.keys}
+        step = max(1, df.count() // sample)
+        keys = df.where(F.pmod(F.xxhash64(*columns), F.lit(step)) == 0).select(self.rowkey(columns).alias("k")).distinct()
+        found = sorted(bytes(r.k) for r in keys.collect())  # bounded by the sample
+        return sorted({found[len(found) * i // regions] for i in range(1, regions)}) if found else []
+
+    def create(self, regions: int | None = None, retain: int | None = None, splits: Sequence[object] | None = None) -> None:
+        """The manifest: split points and how many versions are kept.
+
+        ``splits`` are values of the first key column, tuples of several, or bytes of row keys; without them
+        the options give text bounds, between which points are spaced evenly.
+        """
         n = int(regions if regions is not None else self.options.get("newtable", 0))
-        splits: list[bytes] = []
-        if n:
+        points: list[bytes] = []
+        if splits is not None:
+            points = sorted({bytes(x) if isinstance(x, (bytes, bytearray)) else self.key_bytes(*(x if isinstance(x, tuple) else (x,))) for x in splits})
+        elif n:
             if n <= 3:
                 raise RegionNumberError(f"{n} regions; more than 3 are needed")
-            splits = split_points(self.options.get("minTableSplitPoint", "aaaaaa").encode(), self.options.get("maxTableSplitPoint", "zzzzzz").encode(), n)
+            points = split_points(self.options.get("minTableSplitPoint", "aaaaaa").encode(), self.options.get("maxTableSplitPoint", "zzzzzz").encode(), n)
         kept = retain if retain is not None else int(self.options.get("maxVersions", 1))
-        text = json.dumps({"splits": [s.hex() for s in splits], "retain": kept})
-        self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/manifest")
+        self._publish({"splits": [s.hex() for s in points], "retain": kept, "snapshot": None, "holds": [], "fields": None})
+        log.info("created %s with %d regions", self.path, len(points) + 1)
 
     def cells(self, df: DataFrame, timestamp: int | None, splits: list[bytes]) -> DataFrame:
         """The cells of typed rows; null columns have none, and a marker keeps the row."""
@@ -177,47 +237,103 @@ class Table:
         out = out.where(F.col("x.value").isNotNull() | (F.col("x.cf") == _MARKER))
         return out.select(*self._key_columns(), "rowkey", "x.cf", "x.qualifier", "x.ts", F.monotonically_increasing_id().alias("seq"), "x.value", self.region_of(F.col("rowkey"), splits).alias("region"))
 
-    def write(self, df: DataFrame, timestamp: int | None = None, overwrite: bool = False, batch: int | None = None) -> None:
+    def write(self, df: DataFrame, timestamp: int | None = None, overwrite: bool = False, write_id: str | None = None) -> None:
         """Upsert: newer cells hide older ones.  ``overwrite`` drops the table first.
 
-        ``batch`` orders writes of equal timestamps; the clock gives it unless set.
+        Of equal timestamps the later write counts.  A write that is repeated under the same ``write_id`` replaces itself.
         """
         if overwrite and self.exists():
             self.drop()
         if not self.exists():
             self.create()
         splits = [bytes.fromhex(s) for s in self.manifest()["splits"]]
-        cells = self.cells(df, timestamp, splits).withColumn("batch", F.lit(batch if batch is not None else time.time_ns()).cast("bigint"))
+        batch = time.time_ns()
+        cells = self.cells(df, timestamp, splits).withColumn("batch", F.lit(batch).cast("bigint"))
+        counted = Observation()
+        cells = cells.observe(counted, F.count("*").alias("cells"))
         # Tasks keep their rows, so a region of a third of all rows is written by many of them.
-        cells.sortWithinPartitions("region", "rowkey", "cf", "qualifier").write.mode("append").partitionBy("region").parquet(f"{self.path}/cells")
+        cells.sortWithinPartitions("region", "rowkey", "cf", "qualifier").write.mode("overwrite").partitionBy("region").parquet(f"{self.path}/cells/w={write_id or f'{batch}-{uuid.uuid4().hex[:8]}'}")
+        log.info("wrote %s cells to %s", counted.get["cells"], self.path)
 
-    insert = write
+    def insert(self, df: DataFrame, overwrite: bool = False) -> None:
+        """``INSERT INTO``: the columns of ``df`` count by their places, as in SQL."""
+        names = [f.name for f in self.catalog.fields]
+        if len(df.columns) != len(names):
+            raise ValueError(f"{len(df.columns)} columns for the {len(names)} of {self.catalog.name}")
+        self.write(df.toDF(*names), overwrite=overwrite)
 
     # Reading.
 
-    def _stored(self) -> DataFrame:
+    def _stored(self, writes: list[str] | None = None) -> DataFrame:
+        """All cells, or those of some writes."""
         keys = [T.StructField(f"k_{k.name}", k.spark_type) for k in self.catalog.keys]
         rest = [T.StructField("rowkey", T.BinaryType()), T.StructField("cf", T.StringType()), T.StructField("qualifier", T.StringType()), T.StructField("ts", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("value", T.BinaryType()), T.StructField("batch", T.LongType()), T.StructField("region", T.IntegerType())]
         schema = T.StructType(keys + rest)
-        if not self._exists(f"{self.path}/cells"):
+        names = self._names(f"{self.path}/cells") if writes is None else writes
+        # A write that ended early has no folder of any region.
+        paths = [f"{self.path}/cells/{n}" for n in names if n.startswith("w=") and any(x.startswith("region=") for x in self._names(f"{self.path}/cells/{n}"))]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/cells")
+        return self.spark.read.schema(T.StructType([*schema.fields, T.StructField("w", T.StringType())])).option("basePath", f"{self.path}/cells").parquet(*paths).drop("w")
 
     def regions(self, where: pushdown.Predicate | None) -> list[int]:
         splits = [bytes.fromhex(s) for s in self.manifest()["splits"]]
         return pushdown.regions(pushdown.key_ranges(where, self.catalog), splits)
 
-    def read(self, where: pushdown.Predicate | None = None, columns: list[str] | None = None, options: ReadOptions | None = None) -> DataFrame:
-        """Typed rows.  ``where`` also picks regions; ``columns`` limits which cells are fetched."""
+    def _typing(self) -> str:
+        return json.dumps([[f.name, f.family, f.qualifier, f.type_name, f.coder, f.length, f.avro] for f in self.catalog.fields])
+
+    def _in_regions(self, df: DataFrame, manifest: dict, where: pushdown.Predicate | None, column: str) -> DataFrame:
+        """Only the regions that ``where`` can meet; the folders of the others are not read."""
+        if where is None or not manifest["splits"]:
+            return df
+        wanted = pushdown.regions(pushdown.key_ranges(where, self.catalog), [bytes.fromhex(s) for s in manifest["splits"]])
+        log.info("%s: %d of %d regions for %s", self.path, len(wanted), len(manifest["splits"]) + 1, where)
+        if len(wanted) > len(manifest["splits"]):
+            return df
+        return df.where(F.col(column).isin(wanted) if wanted else F.lit(False))
+
+    def read(self, where: pushdown.Predicate | None = None, columns: list[str] | None = None, options: ReadOptions | None = None, keys: DataFrame | None = None, observe: Observation | None = None) -> DataFrame:
+        """Typed rows.  ``where`` also picks regions; ``columns`` limits which cells are fetched; ``keys`` which rows.
+
+        ``observe`` counts the rows that are returned, as ``rows``.
+        """
         o = options or ReadOptions.of(self.options)
         o.check()
         manifest = self.manifest()
-        fields = [f for f in self.catalog.columns if columns is None or f.name in columns or (where is not None and f.name in str(where))]
-        cells = self._stored()
-        if where is not None and manifest["splits"]:
-            wanted = self.regions(where)
-            if len(wanted) <= len(manifest["splits"]):
-                cells = cells.where(F.col("region").isin(wanted) if wanted else F.lit(False))
+        plain = o.timestamp is None and o.min_stamp is None and o.merge_to_latest and (o.max_versions or 1) == 1 and not any(f.dynamic in ("versions", "both") for f in self.catalog.columns)
+        if manifest["snapshot"] and plain and manifest["fields"] == self._typing():
+            df = self._with_snapshot(manifest, where, columns, o, keys)
+        else:
+            df = self._reduced(self._stored(), manifest, where, columns, o, keys)
+        return df.observe(observe, F.count("*").alias("rows")) if observe is not None else df
+
+    def _with_snapshot(self, manifest: dict, where: pushdown.Predicate | None, columns: list[str] | None, o: ReadOptions, keys: DataFrame | None) -> DataFrame:
+        names = [k.name for k in self.catalog.keys]
+        wanted = [f.name for f in self.catalog.fields] if columns is None else columns
+        old = self.spark.read.parquet(f"{self.path}/snapshots/{manifest['snapshot']}")
+        old = self._in_regions(old, manifest, where, "_region")
+        if where is not None:
+            old = old.where(pushdown.to_column(where))
+        if keys is not None:
+            old = old.join(keys.select(*names).distinct(), names, "left_semi")
+        later = [w for w in self._names(f"{self.path}/cells") if w not in set(manifest["holds"])]
+        if not later:
+            return old.select(*wanted)
+        # Keys are compared as stored bytes, which also tells -0.0 from 0.0.
+        changed = self._in_regions(self._stored(later), manifest, where, "region").select(*(F.col(f"k_{n}").alias(n) for n in names)).distinct()
+        if keys is not None:
+            changed = changed.join(keys.select(*names).distinct(), names, "left_semi")
+        new = self._reduced(self._stored(), manifest, where, columns, o, changed)
+        return old.join(changed, names, "left_anti").select(*wanted).unionByName(new)
+
+    def _reduced(self, cells: DataFrame, manifest: dict, where: pushdown.Predicate | None, columns: list[str] | None, o: ReadOptions, only: DataFrame | None) -> DataFrame:
+        """Rows from cells; ``only`` takes the cells of some keys before anything is grouped."""
+        tested = pushdown.columns_of(where)
+        fields = [f for f in self.catalog.columns if columns is None or f.name in columns or tested is None or f.name in tested]
+        cells = self._in_regions(cells, manifest, where, "region")
+        if only is not None:
+            cells = cells.join(only.select(*(F.col(k.name).cast(k.spark_type).alias(f"k_{k.name}") for k in self.catalog.keys)).distinct(), self._key_columns(), "left_semi")
         if o.timestamp is not None:
             cells = cells.where(F.col("ts") == o.timestamp)
         if o.min_stamp is not None:
@@ -270,7 +386,7 @@ class Table:
         rows = typed.groupBy(*group).agg(*aggs) if aggs else typed.select(*group).distinct()
         out: list[Column] = []
         for f in self.catalog.fields:
-            if columns is not None and f.name not in columns and not (where is not None and f.name in str(where)):
+            if columns is not None and f.name not in columns and tested is not None and f.name not in tested:
                 continue
             c = F.col(f"k_{f.name}" if f.is_key else f"c_{f.name}")
             if not f.is_key and not f.dynamic:
@@ -300,6 +416,7 @@ class Table:
         return Table(self.spark, self.path.rsplit("/", 2)[0], self.catalog, self.options | {k: str(v) for k, v in options.items()})
 
     def count_keys(self) -> int:
+        """Keys, whatever the versions; no cell is decoded."""
         return self._stored().select("rowkey").distinct().count()
 
     def view(self, name: str, **kw) -> DataFrame:
@@ -310,30 +427,39 @@ class Table:
 
     def lookup(self, keys: DataFrame) -> DataFrame:
         """Rows whose keys occur in ``keys`` (any number of them): cells are joined before they are grouped."""
-        names = [k.name for k in self.catalog.keys]
-        wanted = keys.select(*names).distinct()
-        return self.read().join(wanted, names, "left_semi")
+        return self.read(keys=keys)
 
-    def compact(self) -> None:
-        """Write the newest values as one typed snapshot, sorted by key within regions, that reads without a shuffle."""
-        splits = [bytes.fromhex(s) for s in self.manifest()["splits"]]
-        df = self.read(options=ReadOptions(restrictive="FAMILY"))
+    def compact(self, trim: bool = False) -> None:
+        """Write the newest values as one typed snapshot, sorted by key within regions, that reads without a shuffle.
+
+        ``trim`` also rewrites the cells it holds, without the versions that no read may see any more.
+        """
+        manifest = self.manifest()
+        splits = [bytes.fromhex(s) for s in manifest["splits"]]
+        held = [w for w in self._names(f"{self.path}/cells") if w.startswith("w=")]
+        new = uuid.uuid4().hex
+        kept = held
+        if trim:
+            cells = self._stored(held)
+            keys = [*self._key_columns(), "rowkey", "cf", "qualifier"]
+            same = Window.partitionBy(*keys, "ts").orderBy(F.desc("batch"), F.desc("seq"))
+            newest = Window.partitionBy(*keys).orderBy(F.desc("ts"))
+            cells = cells.withColumn("_n", F.row_number().over(same)).where("_n = 1").withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= max(1, manifest["retain"])).drop("_n")
+            kept = [f"w={new}"]
+            cells.sortWithinPartitions("region", "rowkey", "cf", "qualifier").write.partitionBy("region").parquet(f"{self.path}/cells/{kept[0]}")
+        df = self._reduced(self._stored(kept), manifest, None, None, ReadOptions(restrictive="FAMILY"), None)
         keyed = df.withColumn("_key", self.rowkey({k.name: F.col(k.name) for k in self.catalog.keys}))
         keyed = keyed.withColumn("_region", self.region_of(F.col("_key"), splits))
-        keyed.sortWithinPartitions("_region", "_key").drop("_key").write.mode("overwrite").partitionBy("_region").parquet(f"{self.path}/snapshot")
-
-    def snapshot(self, where: pushdown.Predicate | None = None) -> DataFrame:
-        """The last compacted state; pruned by region and by Parquet's own statistics."""
-        df = self.spark.read.parquet(f"{self.path}/snapshot")
-        if where is not None:
-            df = df.where(F.col("_region").isin(self.regions(where))).where(pushdown.to_column(where))
-        return df.drop("_region")
+        keyed.sortWithinPartitions("_region", "_key").drop("_key").write.partitionBy("_region").parquet(f"{self.path}/snapshots/{new}")
+        self._publish(manifest | {"snapshot": new, "holds": kept, "fields": self._typing()})
+        for gone in [f"cells/{w}" for w in held if w not in kept] + [f"snapshots/{n}" for n in self._names(f"{self.path}/snapshots") if n != new]:
+            fs, p = self._fs(f"{self.path}/{gone}")
+            fs.delete(p, True)
+        log.info("compacted %d writes of %s", len(held), self.path)
 
     def retaining(self, versions: int) -> Table:
         """Set how many versions reads may see."""
-        old = self.manifest()
-        text = json.dumps(old | {"retain": versions})
-        self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/manifest")
+        self._publish(self.manifest() | {"retain": versions})
         return self
 
 

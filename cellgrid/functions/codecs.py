@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import struct
 from abc import ABC, abstractmethod
 
 import numpy as np
@@ -38,6 +39,26 @@ class Codec(ABC):
         """A literal's bytes where their order is that of the values for the type; else none."""
         return None
 
+    def pack(self, value: object, kind: T.DataType, avro: str | None = None) -> bytes:
+        """The bytes of one value, as ``encode`` makes them; for writers outside of Spark's plans."""
+        raise NotImplementedError(f"{type(self).__name__} packs no single values")
+
+    def unpack(self, raw: bytes, kind: T.DataType, avro: str | None = None) -> object:
+        raise NotImplementedError(f"{type(self).__name__} unpacks no single values")
+
+    def pack_key(self, parts: list[tuple[object, T.DataType, int]]) -> bytes:
+        out = []
+        for k, (value, kind, width) in enumerate(parts):
+            cell = self.pack(value, kind)
+            if self.fixed_parts and width > 0 and len(parts) > 1 and len(cell) != width:
+                raise ValueError(f"key part {k + 1} must have {width} bytes, it has {len(cell)}")
+            if not self.fixed_parts and width <= 0 and k < len(parts) - 1:
+                if b"\0" in cell:
+                    raise ValueError(f"key part {k + 1} holds a zero byte")
+                cell += b"\0"
+            out.append(cell)
+        return b"".join(out)
+
     def encode_key(self, parts: list[tuple[Column, T.DataType, int]]) -> Column:
         """One row key; a fixed-length part of another width is an error."""
         out = []
@@ -126,6 +147,35 @@ class Primitive(Codec):
             return cell
         raise TypeError(f"{type(self).__name__} can't decode {kind.simpleString()}")
 
+    def pack(self, value: object, kind: T.DataType, avro: str | None = None) -> bytes:
+        if isinstance(kind, T.BooleanType):
+            return (b"\1" if self.ordered else b"\xff") if value else b"\0"
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            f, i = (">f", ">I") if isinstance(kind, T.FloatType) else (">d", ">Q")
+            raw = struct.pack(f, value)
+            if not self.ordered:
+                return raw
+            bits, top = struct.unpack(i, raw)[0], 1 << (8 * len(raw) - 1)
+            return struct.pack(i, bits ^ (2 * top - 1) if bits & top else bits | top)
+        raw = self.literal(value, kind)
+        if raw is None:
+            raise TypeError(f"{value!r} is no {kind.simpleString()}")
+        return raw
+
+    def unpack(self, raw: bytes, kind: T.DataType, avro: str | None = None) -> object:
+        if type(kind) in _INTS:
+            raw = raw[: _INTS[type(kind)]]
+            return int.from_bytes(raw, "big") - (1 << (8 * len(raw) - 1)) if self.ordered else int.from_bytes(raw, "big", signed=True)
+        if isinstance(kind, T.BooleanType):
+            return raw[:1] != b"\0"
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            f, i = (">f", ">I") if isinstance(kind, T.FloatType) else (">d", ">Q")
+            if self.ordered:
+                bits, top = struct.unpack(i, raw)[0], 1 << (8 * len(raw) - 1)
+                raw = struct.pack(i, bits ^ top if bits & top else bits ^ (2 * top - 1))
+            return struct.unpack(f, raw)[0]
+        return raw.decode() if isinstance(kind, T.StringType) else bytes(raw)
+
     def literal(self, value: object, kind: T.DataType) -> bytes | None:
         if type(kind) in _INTS and isinstance(value, int):
             width = _INTS[type(kind)]
@@ -205,6 +255,17 @@ class AvroCodec(Codec):
         return get(cell)
 
 
+    def pack(self, value: object, kind: T.DataType, avro: str | None = None) -> bytes:
+        from cellgrid.functions import avro as A
+
+        return A.codec(avro or json.dumps(A.from_spark(kind)))[0](value.asDict(True) if hasattr(value, "asDict") else value)
+
+    def unpack(self, raw: bytes, kind: T.DataType, avro: str | None = None) -> object:
+        from cellgrid.functions import avro as A
+
+        return A.codec(avro or json.dumps(A.from_spark(kind)))[1](bytes(raw))
+
+
 _CODECS: dict[str, Codec] = {"PrimitiveType": Primitive(), "Ordered": Ordered(), "Phoenix": Ordered(), "Avro": AvroCodec()}
 
 

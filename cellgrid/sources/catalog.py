@@ -15,6 +15,20 @@ VARIABLE = -1
 VARIABLE_COUNTS = 256
 
 
+_NAMED = {"boolean": T.BooleanType, "tinyint": T.ByteType, "smallint": T.ShortType, "int": T.IntegerType, "integer": T.IntegerType, "bigint": T.LongType, "long": T.LongType, "float": T.FloatType, "double": T.DoubleType, "string": T.StringType, "binary": T.BinaryType}
+
+
+def type_of(text: str) -> T.DataType:
+    """The type of a name or of maps of names, also where there is no session (in workers)."""
+    text = text.strip()
+    if text in _NAMED:
+        return _NAMED[text]()
+    if text.startswith("map<") and text.endswith(">"):
+        key, _, value = text[4:-1].partition(",")
+        return T.MapType(type_of(key), type_of(value))
+    return T._parse_datatype_string(text)
+
+
 class CatalogError(ValueError):
     """A catalog that contradicts itself or misses what it must declare."""
 
@@ -39,7 +53,7 @@ class Field:
             from cellgrid.functions.avro import to_spark
 
             return to_spark(json.loads(self.avro))[0]
-        return T._parse_datatype_string(self.type_name)
+        return type_of(self.type_name)
 
     @property
     def width(self) -> int:

@@ -311,7 +311,8 @@ class Table:
     def _with_snapshot(self, manifest: dict, where: pushdown.Predicate | None, columns: list[str] | None, o: ReadOptions, keys: DataFrame | None) -> DataFrame:
         names = [k.name for k in self.catalog.keys]
         wanted = [f.name for f in self.catalog.fields] if columns is None else columns
-        old = self.spark.read.parquet(f"{self.path}/snapshots/{manifest['snapshot']}")
+        schema = T.StructType([*self.catalog.schema.fields, T.StructField("_region", T.IntegerType())])
+        old = self.spark.read.schema(schema).parquet(f"{self.path}/snapshots/{manifest['snapshot']}")
         old = self._in_regions(old, manifest, where, "_region")
         if where is not None:
             old = old.where(pushdown.to_column(where))

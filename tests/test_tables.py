@@ -202,10 +202,63 @@ def test_stream_and_facade(spark, tmp_path):
     stream = spark.readStream.schema("k bigint, v bigint").parquet(str(tmp_path / "in"))
     upsert_stream(stream, table, str(tmp_path / "cp"), availableNow=True).awaitTermination()
     assert table.read().agg(F.sum("v")).first()[0] == 380
+    upsert_stream(stream, table, str(tmp_path / "cp"), availableNow=True).awaitTermination()
+    register(spark)
+
+    def facade():
+        return spark.read.format("cellgrid").option("root", str(tmp_path / "t")).option("catalog", text).load()
+
+    assert sorted(facade().collect()) == sorted(table.read().collect())
     table.compact()
+    table.write(spark.sql("SELECT 3L AS k, 7L AS v UNION ALL SELECT 99L, NULL"))
+    rows = sorted(table.read().collect())
+    assert len(rows) == 21 and (99, None) in rows and (3, 7) in rows
+    assert sorted(facade().collect()) == rows
+    assert sorted(facade().where("k >= 3 AND k < 6").collect()) == rows[3:6]
+    assert sorted(table.lookup(spark.sql("SELECT 3L AS k UNION ALL SELECT 4L")).collect()) == rows[3:5]
+
+
+def test_repeated_batch_replaces_itself(spark, tmp_path):
+    table = Table(spark, str(tmp_path), catalog("r", [("k", "bigint")], [("v", "a", "bigint")]), {"maxVersions": "5"})
+    for _ in range(2):
+        table.write(spark.sql("SELECT 1L AS k, 2L AS v"), write_id="q-0")
+    assert table.read(options=ReadOptions(max_versions=5, merge_to_latest=False)).count() == 1
+    table.write(spark.sql("SELECT 1L AS k, 3L AS v"), timestamp=5, write_id="q-1")
+    table.write(spark.sql("SELECT 1L AS k, 4L AS v"), timestamp=5)
+    assert table.read(options=ReadOptions(timestamp=5)).collect() == [(1, 4)]
+    before = sorted(table.read(options=ReadOptions(max_versions=5, merge_to_latest=False)).collect())
+    table.compact(trim=True)
+    assert sorted(table.read(options=ReadOptions(max_versions=5, merge_to_latest=False)).collect()) == before
+
+
+def test_format_writes(spark, tmp_path):
+    from cellgrid.sources.datasource import register
+
     register(spark)
-    df = spark.read.format("cellgrid").option("root", str(tmp_path / "t")).option("catalog", text).load()
-    assert sorted(df.collect()) == sorted(table.read().collect())
+    options = {"root": str(tmp_path), "catalog": RECORD, "newtable": "5"}
+    record(spark, 256).write.format("cellgrid").options(**options).mode("append").save()
+    table = Table(spark, str(tmp_path), RECORD)
+    assert sorted(table.read().collect()) == sorted(record(spark, 256).collect())
+    record(spark, 3, 0, "new").write.format("cellgrid").options(**options).mode("append").save()
+    assert table.read().where("col7 LIKE '%new'").count() == 3 and table.read().count() == 256
+    record(spark, 2).write.format("cellgrid").options(**options).mode("overwrite").save()
+    assert table.read().count() == 2
+    with pytest.raises(Exception, match="null"):
+        record(spark, 2).withColumn("col0", F.lit(None).cast("string")).write.format("cellgrid").options(**options).mode("append").save()
+    assert table.read().count() == 2
+    table.insert(record(spark, 5))
+    assert table.read().count() == 5
+
+
+def test_typed_split_points_prune(spark, tmp_path):
+    table = Table(spark, str(tmp_path), catalog("p", [("k", "bigint")], [("v", "a", "bigint")]))
+    df = spark.range(-500, 500).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    table.create(splits=[100, 200, -100])
+    table.write(df)
+    assert table._stored().select("region").distinct().count() == 4
+    assert table.regions(("and", (">=", "k", 120), ("<", "k", 150))) == [1]
+    assert table.read(("and", (">=", "k", 120), ("<", "k", 150))).count() == 30
+    assert len(table.points_of(df, 8)) == 7
 
 
 def test_queries_run(spark):

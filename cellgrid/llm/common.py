@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+#: A to Z in bytes as a to z.
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: A key with more than this share of the rows is joined by broadcast; there are fewer such keys than its inverse.
+HOT_KEYS = 1024
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -78,3 +82,17 @@ def bounded_labels(labels: DataFrame, bound: int, *columns: str) -> DataFrame:
     step = max(1, -(-rows.count() // bound))
     kept = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
     return kept.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in columns))
+
+
+def join_hot(rows: DataFrame, table: DataFrame, key: str, total: int | None = None) -> DataFrame:
+    """``rows`` joined with ``table``, which has each ``key`` once, whatever the rows of one key are.
+
+    Keys with more than 1 / ``HOT_KEYS`` of the rows are looked up in a broadcast of fewer than ``HOT_KEYS``
+    rows of ``table``; only the others are dealt out by key.
+    """
+    n = rows.count() if total is None else total
+    hot = rows.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") * HOT_KEYS > n).select(key)
+    hot = materialise(hot, "hot")
+    few = table.join(F.broadcast(hot), key, "left_semi")
+    by_broadcast = rows.join(F.broadcast(few), key)
+    return rows.join(F.broadcast(hot), key, "left_anti").join(table, key).unionByName(by_broadcast)

@@ -1,19 +1,32 @@
-"""Near-duplicates by the Jaccard similarity of word shingles, exactly, by a prefix-filtered set join.
-
-Shingles are ordered by one global order.  Two sets of which ``4 / 5`` of the
-union is shared have a shingle in common among the first ``n - ceil(4 n / 5)
-+ 1`` of each, whatever the order is, so only those are dealt out by shingle.
-The order puts shingles that are common in a bounded sample last, which keeps
-groups small; the sample decides the cost, never the result.
-
-Members of a group are first compared with their neighbours by size, which
-joins most of a large group of near copies; then all pairs of members that
-are still in different components are compared.  Every pair that is linked
-has been verified on the two texts.
+"""Near-duplicate documents: SimHash fingerprints and tries propose, Jaccard similarity of word shingles decides.
+
+Two documents are near if their sets of shingles share at least 4 / 5 of
+their union.  Documents with equal sets are one class.  Candidates among
+classes come from two sides:
+
+* the trie self-join of ``simhash`` over fingerprints of the sets, within two
+  bits, which finds the closest copies;
+* shingles are ordered by one global order; two near sets have a shingle in
+  common among the first ``n - ceil(4 n / 5) + 1`` of each, whatever the
+  order is, so only those are dealt out by shingle.  The order puts shingles
+  that are common in a bounded sample last, which keeps groups small; the
+  sample decides the cost, never the result.  Members of a group are compared
+  with their neighbours by size, which joins most of a large group of near
+  copies; then members that are still in different components are compared.
+
+Fingerprints of candidates from shingles must lie within ``budget`` bits:
+at a similarity of 0.8 bits differ independently with a probability of about
+0.15, so that more than 24 of 64 differ for fewer than one pair in 100,000.
+Every pair that is linked has been verified on the two texts.
+
+A shingle with more than 1 / 1024 of all entries is split: neighbours are
+sought in its parts, whose first members are compared with one pivot, and
+members of different components by pairs of parts.
 
 Defined cases: words are as in ``simhash``; a text of fewer words than
-``width`` is one shingle; null, empty and blank texts are one class; rows
-without a doc_id are compared with nothing; ids are unique.
+``width`` is one shingle; null, empty and blank texts are one class; rows are
+told apart by their place, so repeated and null ids are rows like others;
+other columns pass through.
 """
 
 from __future__ import annotations
@@ -26,13 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, simhash
 from .components import components
-from .simhash import _LOWER
 
 
 def shingles(text: str | None, width: int = 5) -> set[bytes]:
-    words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
+    words = text.encode("utf-8", "surrogatepass").translate(common.LOWER).split() if text else []
     if not words:
         return set()
     return {b" ".join(words[k : k + width]) for k in range(max(1, len(words) - width + 1))}
@@ -59,7 +71,7 @@ def common_shingles(docs: DataFrame, width: int, sample: int, least: int = 20, m
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["h"])
 
     step = max(1, -(-docs.count() // sample))
-    part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("text")
+    part = docs.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).select("text")
     rows = part.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= least).orderBy(F.desc("count"), "h").limit(most).collect()
     h, n = np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["count"] for r in rows], np.int64)
     order = np.argsort(h)
@@ -67,13 +79,13 @@ def common_shingles(docs: DataFrame, width: int, sample: int, least: int = 20, m
 
 
 def _prints(docs: DataFrame, width: int, usual: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``doc_id``, two halves of a hash of the whole set, its size and the prefix."""
+    """``id``, two halves of a hash of the whole set, its size, its fingerprint and the prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(usual)  # bounded by `most` of common_shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = shared.value
         for b in batches:
-            tops, lows, sizes, prefixes = [], [], [], []
+            tops, lows, sizes, marks, prefixes = [], [], [], [], []
             for t in b.column(1):
                 s = _hashes(t.as_py(), width)
                 n, whole = len(s), xxhash.xxh3_128_intdigest(s.tobytes())
@@ -84,11 +96,12 @@ def _prints(docs: DataFrame, width: int, usual: tuple[np.ndarray, np.ndarray]) -
                 tops.append(whole >> 64)
                 lows.append(whole & (1 << 64) - 1)
                 sizes.append(n)
+                marks.append(simhash.bits_of(s.astype("<u8")))
                 prefixes.append(s[np.lexsort((s, rank))[: n - -(-4 * n // 5) + 1]].view(np.int64))
-            halves = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (tops, lows)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *halves, pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "top", "low", "n", "prefix"])
+            halves = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (tops, lows, marks)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *halves, pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["id", "top", "low", "fp", "n", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, top long, low long, n int, prefix array<long>")
+    return docs.mapInArrow(run, "id long, top long, low long, fp long, n int, prefix array<long>")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -108,30 +121,99 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
                 first = None
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id")).join(docs, "doc_id")
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id")).join(docs, "id")
     return ends.select("a", "b", "text").repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(run, "a long, b long")
 
 
-def kept_ids(docs: DataFrame, width: int = 5, sample: int = 20_000) -> DataFrame:
-    """``doc_id``: the smallest id of each component of near documents."""
-    docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    prints = common.materialise(_prints(docs, width, common_shingles(docs, width, sample)), "prints")
-    classes = common.materialise(prints.groupBy("top", "low").agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "classes")
-    dealt = prints.join(classes, "doc_id", "left_semi").select("doc_id", "n", F.explode("prefix").alias("h"))
-    order = Window.partitionBy("h").orderBy("n", "doc_id")
-    beside = dealt.withColumns({"last": F.lag("doc_id").over(order), "last_n": F.lag("n").over(order), "next": F.lead("doc_id").over(order)})
-    groups = common.materialise(beside.where("last IS NOT NULL OR next IS NOT NULL").drop("next"), "groups")
+def _across(named: DataFrame, budget: int) -> DataFrame:
+    """Pairs (a, b) of one group and of different roots, of sizes and fingerprints that may be near; rows (h, i, j, id, n, fp, root, part)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def pairs(t: pa.Table) -> pa.RecordBatch:
+            h, i, j, ids, n, fp, root, part = (t.column(k).to_numpy() for k in range(8))
+            fp, n, out = fp.view(np.uint64), n.astype(np.int64), []
+            many = np.flatnonzero(np.concatenate(([True], (np.diff(h) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)))) if len(h) else np.empty(0, np.int64)
+            ends = np.repeat(np.append(many[1:], len(h)), np.diff(np.append(many, len(h))))
+            at = np.arange(len(h))
+            step = 1
+            while len(at := at[at + step < ends[at]]):
+                x, y = at, at + step
+                ok = (root[x] != root[y]) & (5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y]))
+                ok &= (i[x] == j[x]) | (part[x] != part[y])
+                x, y = x[ok], y[ok]
+                ok = np.bitwise_count(fp[x] ^ fp[y]) <= budget
+                out.append((ids[x[ok]], ids[y[ok]]))
+                step += 1
+            a = np.concatenate([np.minimum(*o) for o in out]) if out else np.empty(0, np.int64)
+            b = np.concatenate([np.maximum(*o) for o in out]) if out else np.empty(0, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+            key = [t.column(k).to_numpy() for k in range(3)]
+            same = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1])) if t.num_rows else []
+            cut = int(same[-1]) + 1 if len(same) else 0
+            if cut:  # the last group may go on
+                yield pairs(t.slice(0, cut))
+            held = t.slice(cut)
+        if held is not None and held.num_rows:
+            yield pairs(held)
+
+    return named.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(run, "a long, b long")
+
+
+def kept(docs: DataFrame, width: int = 5, sample: int = 20_000, budget: int = 24, part_most: int = 20_000) -> DataFrame:
+    """``docs`` without the rows that are near one that stays linked to them: of each component one row, of the smallest doc_id, stays."""
+    _id, columns = common.free_name(docs, "_row"), docs.columns
+    docs = common.materialise(docs.withColumn(_id, F.monotonically_increasing_id()), "rows")
+    texts = docs.select(F.col(_id).alias("id"), F.col("text").cast("string"))
+    prints = common.materialise(_prints(texts, width, common_shingles(texts, width, sample)), "prints")
+    order = docs.select(F.col(_id).alias("id"), F.col("doc_id").cast("long"))
+    ranked = prints.select("id", "top", "low").join(order, "id").select("top", "low", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id").alias("rank"))
+    classes = common.materialise(ranked.groupBy("top", "low").agg(F.min("rank").alias("rank")).select("rank.id", "rank"), "classes")
+    members = common.materialise(prints.join(classes.select("id"), "id", "left_semi").select("id", "fp", "n", "prefix"), "class_prints")
+    entries = members.select(F.explode("prefix").alias("h"), "id", "n", "fp")
+    counts = entries.groupBy("h").agg(F.count("*").alias("rows"), F.min(F.struct("n", "id", "fp")).alias("pivot"))
+    counts = common.materialise(counts.where("rows > 1"), "counts")
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    parts = F.ceil(F.col("rows") / part_most).cast("int")
+    hot = F.broadcast(common.materialise(counts.where(F.col("rows") * common.HOT_KEYS > total).select("h", "pivot", F.greatest(parts, F.lit(2)).alias("parts")), "hot"))
+    # Shingles of one document only make no pairs.
+    few = entries.join(hot, "h", "left_anti").join(counts.select("h"), "h", "left_semi").select("h", F.lit(0).alias("part"), "id", "n", "fp")
+    many = entries.join(hot, "h").select("h", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "n", "fp")
+    groups = common.materialise(few.unionByName(many), "groups")
     pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    tested = common.materialise(groups.where("5L * last_n >= 4L * n").select(F.col("last").alias("x"), F.col("doc_id").alias("y")).select(*pair).distinct(), "tested")
-    links = common.materialise(_verified(tested, docs, width), "links")
-    # Only members in different components are left to compare; a component that meets no other in a group has no pairs.
-    roots = components(links)
-    named = groups.join(roots, groups.doc_id == roots.node, "left").select("h", F.struct("n", "doc_id").alias("x"), F.coalesce("root", "doc_id").alias("root"))
-    sides = common.materialise(named.groupBy("h", "root").agg(F.collect_list("x").alias("xs")), "sides")
-    other = sides.select("h", F.col("root").alias("root2"), F.col("xs").alias("ys"))
-    across = sides.join(other, "h").where("root < root2").select(F.explode("xs").alias("p"), "ys").select("p", F.explode("ys").alias("q"))
-    across = across.where("5L * least(p.n, q.n) >= 4L * greatest(p.n, q.n)").select(F.col("p.doc_id").alias("x"), F.col("q.doc_id").alias("y"))
-    rest = common.materialise(across.select(*pair).distinct().join(tested, ["a", "b"], "left_anti"), "rest")
+    close = f"5L * least(n, n2) >= 4L * greatest(n, n2) AND bit_count(fp ^ fp2) <= {budget}"
+    window = Window.partitionBy("h", "part").orderBy("n", "id")
+    beside = groups.withColumn("last", F.lag(F.struct("id", "n", "fp")).over(window))
+    firsts = beside.where("last IS NULL").join(hot, "h").select("id", "n", "fp", F.col("pivot").alias("last"))
+    beside = beside.where("last IS NOT NULL").select("id", "n", "fp", "last").unionByName(firsts.select("id", "n", "fp", F.struct("last.id", "last.n", "last.fp").alias("last")))
+    beside = beside.select(F.col("id").alias("x"), "n", "fp", F.col("last.id").alias("y"), F.col("last.n").alias("n2"), F.col("last.fp").alias("fp2")).where("x <> y")
+    one = common.materialise(members.groupBy("fp").agg(F.min("id").alias("id")), "fingerprints")
+    tries = simhash.links(one.select("fp"))
+    tries = tries.join(one.select(F.col("fp").alias("a"), F.col("id").alias("x")), "a").join(one.select(F.col("fp").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
+    tested = beside.where(close).select("x", "y").unionByName(tries)
+    tested = common.materialise(tested.select(*pair).distinct(), "tested")
+    links = common.materialise(_verified(tested, texts, width), "links")
+    roots = common.materialise(components(links), "roots")
+    # Only members in different components are left to compare.
+    named = members.join(roots, members.id == roots.node, "left").select("id", F.coalesce("root", "id").alias("root"))
+    rooted = common.materialise(groups.join(named, "id"), "rooted")
+    mixed = rooted.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
+    rooted = rooted.join(mixed, "h", "left_semi")
+    row = ("h", "i", "j", "id", "n", "fp", "root", "part")
+    plain = rooted.join(hot.select("h"), "h", "left_anti").withColumns({"i": F.lit(0), "j": F.lit(0)})
+    split = rooted.join(hot.select("h", "parts"), "h").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"i": F.least("part", "k"), "j": F.greatest("part", "k")})
+    across = _across(plain.select(*row).unionByName(split.select(*row)), budget)
+    rest = common.materialise(across.distinct().join(tested, ["a", "b"], "left_anti"), "rest")
     if rest.limit(1).count():
-        roots = components(links.unionByName(_verified(rest, docs, width)))
-    return classes.join(roots.where("node <> root").select(F.col("node").alias("doc_id")), "doc_id", "left_anti")
+        roots = common.materialise(components(links.unionByName(_verified(rest, texts, width))), "roots")
+    both = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    ranks = both.join(classes.select(F.col("id").alias("node"), "rank"), "node")
+    first = ranks.groupBy("root").agg(F.min("rank").alias("rank")).select("rank.id")
+    gone = both.select(F.col("node").alias("id")).join(first, "id", "left_anti")
+    stay = classes.select("id").join(gone, "id", "left_anti").withColumnRenamed("id", _id)
+    return docs.join(stay, _id, "left_semi").select(*columns)

@@ -2,14 +2,14 @@
 
 A fingerprint is 64 bits.  Two fingerprints within two differing bits agree
 wholly on one of three blocks (22, 21, 21 bits), so each distinct fingerprint
-enters three groups, one per block value; the block is the top of a trie
-whose upper levels must agree.  Within a group a binary trie over the other
-bits is joined with itself: pairs of nodes descend together, add up their
-differing bits and are dropped beyond the budget.  A group with more than
-``group_most`` different fingerprints is not joined in one task: its members
-send themselves and their one-bit neighbours as keys, and members that share
-a key are linked, which is exact as well (two fingerprints within two bits
-share a neighbour) and leaves at most 65 members on a key.
+enters three groups, one per block value; turned so that the block comes
+first, the block is the top of a trie whose upper levels must agree.  Within
+a group the binary trie is joined with itself: pairs of nodes descend
+together, add up their differing bits and are dropped beyond the budget.  A
+group that is too large for one task descends four levels as a table: each
+row goes to the pairs of child nodes that its own child can still form
+within the budget, and each such pair is a group of its own; this is
+repeated until every group is small enough.
 
 Texts with equal fingerprints are one class from the start; pairs are only
 ever made between different fingerprints, of which each has at most 2,080
@@ -34,13 +34,12 @@ from pyspark.sql import functions as F
 from . import common
 from .components import components
 
-BLOCKS = ((42, 22), (21, 21), (0, 21))  # lowest bit and width
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+BLOCKS = ((0, 22), (22, 21), (43, 21))  # turned left by so many bits, the block of so many bits comes first
 _SUM_AT_ONCE = 65_536
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
-    words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
+    words = text.encode("utf-8", "surrogatepass").translate(common.LOWER).split() if text else []
     if not words:
         return 0
     flat = b" ".join(words)
@@ -50,11 +49,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - width + 1].tolist()
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(flat[a:b], 42) for a, b in zip(starts, ends[width - 1 :].tolist())], dtype="<u8")
-    ones = np.zeros(64, np.int64)
-    for k in range(0, len(h), _SUM_AT_ONCE):
-        part = h[k : k + _SUM_AT_ONCE]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(sum(1 << k for k in range(64) if 2 * ones[k] > len(h)))
+    return bits_of(h)
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -69,17 +64,29 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
-def trie_pairs(values: np.ndarray, budget: int, leaf: int = 8) -> tuple[np.ndarray, np.ndarray]:
+def bits_of(h: np.ndarray) -> int:
+    """Of hashes, the bits that are set in over half of them."""
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(h), _SUM_AT_ONCE):
+        part = h[k : k + _SUM_AT_ONCE]
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(sum(1 << k for k in range(64) if 2 * ones[k] > len(h)))
+
+
+def trie_pairs(values: np.ndarray, budget: int, leaf: int = 8, cut: int | None = None, depth: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs i < j of sorted distinct ``values`` within ``budget`` differing bits.
 
+    With ``cut`` only pairs i < cut <= j: two nodes of the given ``depth``.
+
     A node is a range of the sorted values that share their upper bits.  All
     node pairs of a level advance together, as arrays; ``cost`` has the bits
     in which their prefixes differ.  Pairs of small nodes are compared directly.
     """
     n = len(values)
     out: list[tuple[np.ndarray, np.ndarray]] = []
-    a0, a1, b0, b1, cost = (np.array([x], np.int64) for x in (0, n, 0, n, 0))
-    for bit in range(63, -2, -1):
+    start = (0, n, 0, n, 0) if cut is None else (0, cut, cut, n, (int(values[0] ^ values[-1]) >> (64 - depth)).bit_count())
+    a0, a1, b0, b1, cost = (np.array([x], np.int64) for x in start)
+    for bit in range(63 - depth, -2, -1):
         small = np.maximum(a1 - a0, b1 - b0) <= (leaf if bit >= 0 else n)
         for da in range(leaf if small.any() else 0):
             for db in range(leaf):
@@ -110,7 +117,7 @@ def trie_pairs(values: np.ndarray, budget: int, leaf: int = 8) -> tuple[np.ndarr
 
 
 def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-    """A star per connected part of the pairs: enough links for components."""
+    """Of the pairs, so many that they hold their connected parts together."""
     root = list(range(n))
 
     def find(x: int) -> int:
@@ -119,82 +126,103 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
             x = root[x]
         return x
 
-    for a, b in zip(i.tolist(), j.tolist()):
-        a, b = find(a), find(b)
+    out = []
+    for x, y in zip(i.tolist(), j.tolist()):
+        a, b = find(x), find(y)
         if a != b:
             root[max(a, b)] = min(a, b)
-    return [(k, find(k)) for k in range(n) if find(k) != k]
+            out.append((x, y))
+    return out
 
 
-def links(distinct: DataFrame, budget: int = 2, group_most: int = 50_000) -> DataFrame:
-    """Links ``(a, b)`` between the different values ``fp`` that hold their components together."""
+def links(distinct: DataFrame, budget: int = 2, group_most: int = 50_000, groups_most: int = 65_536) -> DataFrame:
+    """Links ``(a, b)`` between the different values ``fp`` that hold their components together.
+
+    Only groups of more than ``group_most`` rows, and of more than 1 / ``groups_most`` of all rows, descend as a
+    table, so the list of them has fewer than ``groups_most`` rows and is broadcast.
+    """
     if budget > 2:
         raise ValueError("three blocks serve at most two differing bits")
-    blocks = F.array(
-        *(
-            F.struct(F.lit(k).alias("block"), F.shiftrightunsigned("fp", low).bitwiseAND((1 << bits) - 1).alias("part"))
-            for k, (low, bits) in enumerate(BLOCKS)
-        )
-    )
-    spread = distinct.select("fp", F.inline(blocks))
-    sizes = spread.groupBy("block", "part").agg(F.count("*").alias("n"))
-    large = common.materialise(sizes.where(F.col("n") > group_most).select("block", "part"), "large")
+    turned = [(k, f"(shiftleft(fp, {t}) | shiftrightunsigned(fp, {64 - t}))" if t else "fp", bits) for k, (t, bits) in enumerate(BLOCKS)]
+    nodes = F.expr("array(" + ", ".join(f"named_struct('block', {k}, 'depth', {bits}, 'u', shiftrightunsigned({v}, {64 - bits}), 'v', shiftrightunsigned({v}, {64 - bits}), 'x', {v})" for k, v, bits in turned) + ")")
+    spread = distinct.select(F.inline(nodes))
+    key = ["block", "depth", "u", "v"]
+    most = group_most
+    ready: DataFrame | None = None
+    while True:
+        sizes = spread.groupBy(*key).count()
+        total = sizes.agg(F.sum("count")).first()[0] or 0
+        most = max(group_most, -(-total // groups_most))
+        large = F.broadcast(common.materialise(sizes.where(F.col("count") > most).select(*key), "large"))
+        if not large.limit(1).count():
+            ready = spread if ready is None else ready.unionByName(spread)
+            break
+        rest = spread.join(large, key, "left_anti")
+        ready = rest if ready is None else ready.unionByName(rest)
+        own, other = "shiftrightunsigned(x, 60 - depth)", "if(shiftrightunsigned(x, 64 - depth) = u, v, u)"
+        down = spread.join(large, key, "left_semi").withColumns({"own": F.expr(own), "other": F.expr(f"explode(transform(sequence(0L, 15L), y -> shiftleft({other}, 4) | y))")})
+        down = down.where(F.expr(f"bit_count(own ^ other) <= {budget}"))
+        spread = common.materialise(down.select("block", (F.col("depth") + 4).alias("depth"), F.least("own", "other").alias("u"), F.greatest("own", "other").alias("v"), "x"), "nodes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted by group, so one group is held at a time (of at most group_most, as the rest is taken out).
+        # Rows come sorted by group, so one group is held at a time.
         held: list[np.ndarray] = []
         last = None
 
         def close() -> pa.RecordBatch | None:
-            values = np.unique(np.concatenate(held)).view(np.uint64)
-            values.sort()
-            if len(values) < 2:
+            block, depth, u, v = last
+            values = np.unique(np.concatenate(held).view(np.uint64))
+            cut = None if u == v else int(np.searchsorted(values, np.uint64(v << (64 - depth))))
+            if len(values) < 2 or (cut is not None and not 0 < cut < len(values)):
                 return None
-            got = _forest(len(values), *trie_pairs(values, budget))
+            got = _forest(len(values), *trie_pairs(values, budget, cut=cut, depth=depth))
             if not got:
                 return None
+            turn = BLOCKS[block][0]
+            if turn:
+                values = (values >> np.uint64(turn)) | (values << np.uint64(64 - turn))
             a, b = (values[[x[k] for x in got]].view(np.int64) for k in (0, 1))
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
-            block, part, fp = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(part) != 0)) + 1
-            for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(fp)]):
+            parts = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
+            new = np.zeros(max(0, batch.num_rows - 1), bool)
+            for c in parts[:4]:
+                new |= np.diff(c) != 0
+            cuts = (np.flatnonzero(new) + 1).tolist()
+            for s, e in zip([0, *cuts], [*cuts, batch.num_rows]):
                 if s == e:
                     continue
-                key = (int(block[s]), int(part[s]))
-                if key != last and held:
+                now = tuple(int(c[s]) for c in parts[:4])
+                if now != last and held:
                     if out := close():
                         yield out
                     held = []
-                last = key
-                held.append(fp[s:e].copy())
+                last = now
+                held.append(parts[4][s:e].copy())
         if held and (out := close()):
             yield out
 
-    rest = spread
-    found = None
-    if large.limit(1).count():
-        rest = spread.join(large, ["block", "part"], "left_anti")
-        flips = F.expr("transform(sequence(0, 64), k -> if(k < 64, fp ^ shiftleft(1L, k), fp))")
-        near = spread.join(large, ["block", "part"], "left_semi").select("fp").distinct().select("fp", F.explode(flips).alias("key"))
-        star = near.groupBy("key").agg(F.min("fp").alias("b"), F.collect_set("fp").alias("all"))  # at most 65 on a key
-        found = star.select(F.explode("all").alias("a"), "b").where("a <> b")
-    groups = rest.select("block", F.col("part").cast("long").alias("part"), "fp").repartition("block", "part").sortWithinPartitions("block", "part")
-    joined = groups.mapInArrow(run, "a long, b long")
-    return joined if found is None else joined.unionByName(found)
+    groups = ready.select(*key, "x").repartition(*key).sortWithinPartitions(*key)
+    return groups.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, budget: int = 2, width: int = 3, group_most: int = 50_000) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fingerprint`` (hex) and ``component_id``."""
     prints = common.materialise(fingerprints(docs, width), "fingerprints")
     classes = common.materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = components(links(classes.select("fp"), budget, group_most))
-    named = roots.join(classes, roots.node == classes.fp).select("node", "root", "first")
-    # The root's own row gives its class too.
-    own = roots.select("root").distinct().join(classes, F.col("root") == classes.fp).select(F.col("root").alias("node"), "root", "first")
-    members = named.unionByName(own)
-    lows = members.groupBy("root").agg(F.min("first").alias("low"))
-    labels = members.join(lows, "root").select(F.col("node").alias("fp"), "low")
-    table = classes.join(labels, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id"))
-    return prints.join(table, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    roots = common.materialise(components(links(classes.select("fp"), budget, group_most)), "roots")
+    # The roots are members of their components too.
+    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "fp")
+    named = common.materialise(members.join(classes, "fp"), "members")
+    lows = named.groupBy("root").agg(F.min("first").alias("low"))
+    labels = common.join_hot(named, lows, "root").select("fp", "low")
+    table = common.materialise(classes.join(labels, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id")), "table")
+    return common.join_hot(prints, table, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_documents(docs: DataFrame, width: int = 5) -> DataFrame:
+    """``docs`` with one row of each group that is near by Jaccard >= 0.8 over ``width``-word shingles (see ``jaccard``)."""
+    from . import jaccard
+
+    return jaccard.kept(docs, width)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import jaccard, mixing, pii, quality, queries, sentencepiece
+from cellgrid.llm import mixing, pii, quality, queries, sentencepiece, simhash
 from cellgrid.llm.common import materialise, read
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,9 +21,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by Jaccard >= 0.8 over five-word shingles the smallest id stays; ids are unique in ``documents``."""
-    stay = docs.join(jaccard.kept_ids(docs), "doc_id", "left_semi").select(*COLUMNS)
-    return stay.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    """Of documents linked by Jaccard >= 0.8 over five-word shingles one of the smallest doc_id stays.
+
+    Rows with equal or null ids are rows like others: of equal texts one stays.
+    """
+    return simhash.near_documents(docs.select(*COLUMNS))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
-    ("near-dedup by Jaccard", near_dedup),
+    ("SimHash near-dedup", near_dedup),
     ("PII", personal_data),
     ("mixing to target weights", mix),
     ("SentencePiece encoding", tokens),

@@ -3,10 +3,13 @@
 A classifier fitted on a labelled table gives each document posteriors over
 domains.  Rates r (0 <= r <= most) are fitted to all documents by projected
 gradient descent on the squared differences between expected domain token
-totals, sum of tokens * posterior * r, and their targets.  A step moves r by
-the residuals weighted with the posteriors and clips it, so r stays a
-function of the posteriors: the driver keeps a few residuals per step and
-each step is one aggregation over all rows.
+totals, sum of tokens * posterior * r, and their targets, the wanted shares
+of the sum of all totals.  A step moves r by the residuals, solved for with
+the Gram matrix of the posteriors of the documents that can still move, and
+clips it, so r stays a function of the posteriors: the driver keeps a few
+numbers per step and each step is two aggregations over all rows.  The fit
+ends when every domain is within ``tolerance`` of its own target; shares
+that no rates reach end at the least squares found, and the result says so.
 
 Defined cases: a null or blank text has no tokens and moves no total; its
 rate follows its posterior like any other; repeated rows get equal rates;
@@ -61,11 +64,9 @@ class Classifier:
             counts[self.lexicon[w]] += 1
         return len(words), _style(raw, words) + [math.log1p(c) for c in counts]
 
-    def posteriors(self, x: np.ndarray, floor: float) -> np.ndarray:
+    def posteriors(self, x: np.ndarray) -> np.ndarray:
         z = np.c_[np.ones(len(x)), (x - self.mean) / self.scale] @ self.weights
         p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[p < floor] = 0.0
         return p / p.sum(1, keepdims=True)
 
 
@@ -125,8 +126,8 @@ def _featured(docs: DataFrame, model: Classifier) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_x", T.ArrayType(T.DoubleType()))]))
 
 
-def score(docs: DataFrame, model: Classifier, text: str = "text", floor: float = 0.1, keep_text: bool = True) -> DataFrame:
-    """``docs`` with ``tokens`` (words) and ``posterior``; posteriors under ``floor`` count as none."""
+def score(docs: DataFrame, model: Classifier, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with ``tokens`` (words) and ``posterior``."""
     docs = docs.drop("tokens", "posterior")
     at = docs.columns.index(text)
     held = [k for k in range(len(docs.columns)) if keep_text or k != at]
@@ -140,7 +141,7 @@ def score(docs: DataFrame, model: Classifier, text: str = "text", floor: float =
             if not b.num_rows:
                 continue
             got = [m.features(t.as_py()) for t in b.column(at)]
-            p = m.posteriors(np.array([x for _, x in got]), floor)
+            p = m.posteriors(np.array([x for _, x in got]))
             extra = [pa.array([n for n, _ in got], pa.int64()), pa.array(p.tolist(), pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in held), *extra], names=names)
 
@@ -156,43 +157,76 @@ def _rate(steps: list[list[float]], most: float) -> Column:
     return F.expr(f"aggregate(array({table}), 1.0D, (r, g) -> greatest(0.0D, least({float(most)!r}D, r - ({move}))))")
 
 
-def fit_rates(scored: DataFrame, weights: list[float], most: float = 1.0, rounds: int = 20, tolerance: float = 1e-3) -> list[list[float]]:
-    """Steps of projected gradient descent for ``weights`` (token shares wanted; they are normalised).
+@dataclass
+class Rates:
+    steps: list[list[float]]
+    wanted: list[float]  # shares of the token total
+    reached: list[float]
+    fits: bool  # whether every domain is within the tolerance of its share
+    anchor: float = 1.0  # all rates are multiplied by it, which changes no share
+
+
+def fit_rates(scored: DataFrame, weights: list[float], most: float = 1.0, rounds: int = 40, tolerance: float = 5e-3, anchor_most: float = 2.0) -> Rates:
+    """Rates for ``weights`` (token shares wanted, more than zero; they are normalised).
 
-    The scale is set by the first domain, whose target is all its expected
-    tokens; the others follow from their weights.  A step is scaled by the
-    expected tokens of the documents that it can still move.
+    Shares leave the scale of the rates open: it is set so that documents that are likeliest of the first domain
+    have a rate of 1 at least, as far as ``anchor_most`` allows.
     """
     k = len(weights)
-    mass = [F.col("tokens") * F.get("posterior", F.lit(d)) for d in range(k)]
+    wanted = np.array(weights, float) / sum(weights)
+    posterior = [F.get("posterior", F.lit(d)) for d in range(k)]
 
-    def sums(by: Column) -> list[float]:
-        row = scored.withColumn("_by", by).agg(*(F.sum(F.col("_by") * m) for m in mass)).first()
-        return [float(x or 0.0) for x in row]
+    def totals(steps: list[list[float]]) -> np.ndarray:
+        r = _rate(steps, most)
+        row = scored.agg(*(F.sum(F.col("tokens") * r * p) for p in posterior)).first()
+        return np.array([float(x or 0.0) for x in row])
+
+    def gram(steps: list[list[float]], way: np.ndarray) -> np.ndarray:
+        """Sums of tokens * posterior * posterior over documents that a step along ``way`` moves."""
+        r = _rate(steps, most)
+        move = sum((F.lit(float(w)) * p for w, p in zip(way, posterior)), F.lit(0.0))
+        free = ((r > 0) & (move > 0)) | ((r < most) & (move < 0))
+        pairs = [(d, e) for d in range(k) for e in range(d, k)]
+        row = scored.where(free).agg(*(F.sum(F.col("tokens") * posterior[d] * posterior[e]) for d, e in pairs)).first()
+        out = np.zeros((k, k))
+        for (d, e), x in zip(pairs, row):
+            out[d, e] = out[e, d] = float(x or 0.0)
+        return out
+
+    def error(now: np.ndarray) -> np.ndarray:
+        return now / max(now.sum(), 1e-9) / wanted - 1.0
 
-    full = sums(F.lit(1.0))
-    target = [full[0] * w / weights[0] for w in weights]
-    every = max(1.0, sum(full))
     steps: list[list[float]] = []
-    now = full
-    while len(steps) < rounds:
-        gap = [a - b for a, b in zip(now, target)]
-        if max(map(abs, gap)) <= tolerance * every:
+    now = totals(steps)
+    size = 1.0
+    for _ in range(rounds):
+        if not now.sum() or np.abs(error(now)).max() <= tolerance:
             break
-        r = _rate(steps, most)
-        way = sum((F.lit(g / max(1.0, f)) * F.get("posterior", F.lit(d)) for d, (g, f) in enumerate(zip(gap, full))), F.lit(0.0))
-        free = ((r > 0) | (way < 0)) & ((r < most) | (way > 0))
-        moved = sums(free.cast("double"))
-        steps.append([g / max(1.0, m) for g, m in zip(gap, moved)])
-        after = sums(_rate(steps, most))
-        if max(abs(a - b) for a, b in zip(after, now)) <= tolerance * every / 2:
+        gap = now - wanted * now.sum()
+        scale = 1.0 / (wanted * now.sum())
+        # The slope of the relative squared error for a document of each domain: what it adds to its own gap, and to the sum.
+        slope = gap * scale**2
+        way = slope - (wanted * slope).sum()
+        m = gram(steps, way)
+        change = (m - np.outer(wanted, m.sum(0))) * scale[:, None]
+        move = np.linalg.lstsq(np.vstack([change, 1e-4 * np.eye(k) * max(np.abs(change).max(), 1e-12)]), np.append(gap * scale, np.zeros(k)), rcond=None)[0]
+        while True:
+            tried = [*steps, [float(f"{size * x:.10g}") for x in move]]
+            after = totals(tried)
+            if (error(after) ** 2).sum() < (error(now) ** 2).sum() or size < 1e-2:
+                break
+            size /= 2
+        if (error(after) ** 2).sum() >= (error(now) ** 2).sum():
             break
-        now = after
-    return steps
+        steps, now, size = tried, after, min(1.0, 2 * size)
+    reached = now / max(now.sum(), 1e-9)
+    least = scored.where(F.get("posterior", F.lit(0)) >= F.array_max("posterior")).agg(F.min(_rate(steps, most))).first()[0]
+    anchor = min(anchor_most, max(1.0, 1.0 / least)) if least else 1.0
+    return Rates(steps, wanted.tolist(), reached.tolist(), bool(now.sum()) and bool(np.abs(error(now)).max() <= tolerance), float(f"{anchor:.10g}"))
 
 
-def with_rates(scored: DataFrame, steps: list[list[float]], most: float = 1.0, seed: int = 7, key: str = "doc_id") -> DataFrame:
+def with_rates(scored: DataFrame, rates: Rates, most: float = 1.0, seed: int = 7, key: str = "doc_id") -> DataFrame:
     """``scored`` with ``rate`` and ``copies``: its whole part and, by a hash of the id, its rest."""
     u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    df = scored.withColumn("rate", F.round(_rate(steps, most), 9))
+    df = scored.withColumn("rate", F.round(_rate(rates.steps, most) * F.lit(rates.anchor), 9))
     return df.withColumn("copies", (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))

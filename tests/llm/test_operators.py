@@ -226,15 +226,34 @@ def test_mixing(spark, docs):
     model = mixing.fit(df, labels, ["clean", "toxic"])
     scored = mixing.score(df.withColumn("tokens", F.lit(0)), model)
     weights = [0.99, 0.01]
-    steps = mixing.fit_rates(scored, weights)
-    got = mixing.with_rates(scored, steps).collect()
+    fitted = mixing.fit_rates(scored, weights)
+    got = mixing.with_rates(scored, fitted).collect()
     held = [r for r in got if r.doc_id is not None and r.doc_id >= 200]
     assert np.mean([(r.posterior[1] > 0.5) == (r.doc_id % 5 == 0) for r in held]) > 0.97
-    totals = [sum(r.tokens * r.posterior[d] * r.rate for r in got) for d in (0, 1)]
-    full = sum(r.tokens * r.posterior[0] for r in got)
-    assert abs(totals[0] - full) < 0.01 * full and abs(totals[1] - full * 0.01 / 0.99) < 0.01 * full
-    assert mixing.fit(df, labels.limit(0), ["clean", "toxic"]).posteriors(np.zeros((1, 8)), 0.1)[0, 0] == 1
-    assert mixing.fit_rates(scored.limit(0), weights) == []
+    totals = np.array([sum(r.tokens * r.posterior[d] * r.rate for r in got) for d in (0, 1)])
+    assert fitted.fits and np.allclose(totals / totals.sum(), weights, rtol=0.01) and np.allclose(totals / totals.sum(), fitted.reached, rtol=1e-6)
+    assert all(r.copies >= 1 for r in got if r.posterior[0] > 0.9)
+    assert mixing.fit(df, labels.limit(0), ["clean", "toxic"]).posteriors(np.zeros((1, 8)))[0, 0] == 1
+    assert mixing.fit_rates(scored.limit(0), weights).steps == []
+    assert mixing.fit_rates(scored, [0.5, 0.5]).fits
+
+
+def test_mixing_against_brute_force(spark):
+    """Rates of every document by plain projected gradient descent reach no smaller squared error."""
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([0.3, 0.2, 0.2], 300)
+    tokens = rng.integers(0, 500, 300)
+    scored = spark.createDataFrame([(k, int(t), [float(x) for x in q]) for k, (t, q) in enumerate(zip(tokens, p))], "doc_id long, tokens long, posterior array<double>")
+    for weights, fits in (([0.7, 0.2, 0.1], True), ([0.2, 0.3, 0.5], True), ([0.34, 0.33, 0.33], True)):
+        w, mass, r = np.array(weights), tokens[:, None] * p, np.ones(300)
+        for _ in range(20_000):
+            total = mass.T @ r
+            gap = (total - w * total.sum()) / (w * total.sum())
+            r = np.clip(r - 0.02 * (p @ (gap / w) - (gap @ np.ones(3))), 0, 1)
+        total = mass.T @ r
+        best = np.abs(total / total.sum() / w - 1).max()
+        got = mixing.fit_rates(scored, weights)
+        assert got.fits == fits and np.abs(np.array(got.reached) / w - 1).max() <= max(best, 5e-3)
 
 
 def test_html(spark):

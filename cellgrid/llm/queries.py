@@ -46,7 +46,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pii.find(docs, pii.fit(docs))
+    found = pii.find(docs, pii.fit(spark))
     return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2(F.expr(spans.joined("base_spans", by_rank=True)), 256).alias("base_sha256"), F.expr(spans.joined("pii_spans", by_rank=True)).alias("spans"))
 
 

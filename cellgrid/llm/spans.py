@@ -24,7 +24,7 @@ def add_matches(df: DataFrame, text: str, out: str, pattern: str, gate: Column,
     is the match, ``part`` its ``group``, ``before`` up to 32 code points ahead.
     The pattern must not match the empty string.
     """
-    hits, parts, gaps, steps, blocks = (f"_{out}_{x}" for x in ("hits", "parts", "gaps", "steps", "blocks"))
+    hits, parts, gaps, steps, sums = (f"_{out}_{x}" for x in ("hits", "parts", "gaps", "steps", "sums"))
     none = "cast(array() AS array<string>)"
     df = df.withColumn(hits, F.when(gate, F.expr(f"regexp_extract_all({text}, {quoted(pattern)}, 0)")).otherwise(F.expr(none)))
     df = df.withColumns(
@@ -34,21 +34,32 @@ def add_matches(df: DataFrame, text: str, out: str, pattern: str, gate: Column,
         }
     )
     df = df.withColumn(steps, F.expr(f"transform({hits}, (x, i) -> length(x) + length(get({gaps}, i)))"))
-    df = df.withColumn(
-        blocks,
-        F.expr(
-            f"CASE WHEN size({hits}) <= {_BLOCK} THEN cast(array() AS array<int>) ELSE transform(sequence(0, size({hits}) div {_BLOCK}), "
-            f"b -> aggregate(slice({steps}, cast(b * {_BLOCK} + 1 AS int), {_BLOCK}), 0, (a, x) -> a + x)) END"
-        ),
-    )
-    before = f"aggregate(slice({steps}, cast(i - i % {_BLOCK} + 1 AS int), i % {_BLOCK}), aggregate(slice({blocks}, 1, cast(i div {_BLOCK} AS int)), 0, (a, x) -> a + x), (a, x) -> a + x)"
-    made = (
-        f"transform(transform({hits}, (x, i) -> named_struct('start', {before} + length(get({gaps}, i)), 'hit', x, 'part', get({parts}, i), 'before', right(get({gaps}, i), 32))), "
-        f"x -> named_struct('start', x.start, 'end', x.start + length(x.hit), 'hit', x.hit, 'part', x.part, 'before', x.before))"
-    )
+    blocks = f"sequence(0, greatest(size({hits}) - 1, 0) div {_BLOCK})"
+    df = df.withColumn(sums, F.expr(f"transform({blocks}, b -> aggregate(slice({steps}, cast(b * {_BLOCK} + 1 AS int), {_BLOCK}), 0, (a, x) -> a + x))"))
+    # What lies before a block is summed once for the block, as `o`.
+    start = f"o + aggregate(slice({steps}, cast(b * {_BLOCK} + 1 AS int), cast(i AS int)), 0, (a, x) -> a + x) + length(get({gaps}, k))"
+    one = f"named_struct('start', {start}, 'hit', get({hits}, k), 'part', get({parts}, k), 'before', right(get({gaps}, k), 32))"
+    within = f"flatten(transform(sequence(0, least(size({hits}) - cast(b * {_BLOCK} AS int), {_BLOCK}) - 1), i -> transform(array(cast(b * {_BLOCK} + i AS int)), k -> {one})))"
+    every = f"flatten(transform({blocks}, b -> flatten(transform(array(aggregate(slice({sums}, 1, cast(b AS int)), 0, (a, x) -> a + x)), o -> {within}))))"
+    shape = "array<struct<start:int,end:int,hit:string,part:string,before:string>>"
+    made = f"transform({every}, x -> named_struct('start', x.start, 'end', x.start + length(x.hit), 'hit', x.hit, 'part', x.part, 'before', x.before))"
+    made = f"CASE WHEN size({hits}) = 0 THEN cast(array() AS {shape}) ELSE cast({made} AS {shape}) END"
     # The test is always true; it keeps filters from being moved below (see quality.py).
     df = df.withColumn(out, F.expr(f"if(monotonically_increasing_id() >= 0, {made}, NULL)"))
-    return df.drop(hits, parts, gaps, steps, blocks)
+    return df.drop(hits, parts, gaps, steps, sums)
+
+
+def blocked(spans: str) -> str:
+    """SQL: spans in blocks by start, each with its bounds, for ``meets``."""
+    cut = f"transform(sequence(0, greatest(size({spans}) - 1, 0) div {_BLOCK}), b -> slice(sort_array({spans}), cast(b * {_BLOCK} + 1 AS int), {_BLOCK}))"
+    cut = cut.replace(f"sort_array({spans})", "o")
+    cut = f"flatten(transform(array(sort_array({spans})), o -> {cut}))"
+    return f"transform(filter({cut}, p -> size(p) > 0), p -> named_struct('lo', array_min(transform(p, x -> x.start)), 'hi', array_max(transform(p, x -> x.end)), 'items', p))"
+
+
+def meets(blocks: str, x: str) -> str:
+    """SQL: whether ``x`` overlaps a span of ``blocks``; only blocks that it can meet are looked into."""
+    return f"exists({blocks}, q -> q.lo < {x}.end AND {x}.start < q.hi AND exists(q.items, s -> s.start < {x}.end AND {x}.start < s.end))"
 
 
 def kept(out: str, test: str) -> Column:

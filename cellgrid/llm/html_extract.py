@@ -1,19 +1,26 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are aligned, as trees, in groups of bounded size by simple
-tree matching.  A node that is the same in nearly all pages of its group,
-although their other content differs, is part of the host's template; slots
-that vary are content.  Elements that HTML itself or their class names mark
-as navigation, header, footer, sidebar, notice, advert, form or reader
-comments never count as content, and an article element, where a page has
-one, bounds it.  A host with more pages than ``group_most`` is dealt out to
-several groups, each of which induces the wrapper from its own pages.
+Pages of one host are aligned as whole trees, in groups of bounded size, by
+simple tree matching with the page of middle size.  A node that is the same
+in nearly all pages of its group, although their other content differs, is
+part of the host's template; slots that vary are content.  What varies and
+still is no article is told by its role: elements that HTML itself or their
+class names mark as navigation, header, footer, sidebar, notice, advert, form
+or reader comments never count as content, and article and main elements,
+where a page has any, bound it.
+
+Pages that are equal in content count once, and of two to four pages nodes
+that make up most of the text are no template, so that copies of one article
+don't take it away.  A host with more pages than ``group_most`` is dealt out to several
+groups, each of which induces the wrapper from its own pages.
 
 Text inside a block becomes one line; blocks are joined by blank lines.
 Defined cases: a null or empty page, or one without content, has an empty
-text; markup that is cut off or not closed ends with the page; pages without
-a host are grouped together; repeated rows give equal texts; columns other
-than the three are not used.
+text; markup that is cut off or not closed ends with the page; quotes count
+behind an equals sign only; pages of any length and depth are aligned whole;
+a host with one page has no template; pages without a host are grouped
+together; repeated rows give equal texts; columns other than the three are
+not used, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,22 +44,43 @@ RAW = set("script style textarea title noscript template iframe xmp".split())
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 DROPPED = set("script style noscript template iframe head title nav header footer aside form button select option textarea input label svg canvas object embed menu dialog".split())
 CLOSES_P = BLOCKS - {"html", "body"}
-_ROLE = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|aside|ads?|adverts?|advertisement|banner|promo|sponsor(?:ed)?|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|social|comments?|replies|reply|disqus|respond|related|widget|pagination|skip)(?:$|[\s_-])", re.I)
+#: Parts of class names and ids that mark what is no article, wherever they stand in a name, and those that do so alone,
+#: at its end, or before a word for a container (fixed values).
+_MARKS = set("nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar aside ad ads advert adverts advertisement cookie cookies consent popup modal newsletter disqus pagination comments replies".split())
+_WEAK_MARKS = set("header banner promo sponsor sponsored notice subscribe share social comment reply respond related widget skip".split())
+_HOLDERS = set("area articles bar block box button buttons container form icons inner items link links list posts section stories thread widget wrap wrapper".split())
+_OWN_HEADERS = set("article content entry post story".split())
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?:>|$)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|</?[A-Za-z](?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')|=)*+(?:>|$)", re.S)
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _SPACE = re.compile(r"[\s/][^\s/>]")
 _ATTR = re.compile(r"([A-Za-z_:][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")  # hidden has no value
 
 
+def _marked(names: str) -> bool:
+    """Whether class names or ids mark a part that is no article."""
+    for name in names.lower().split():
+        parts = [x for x in re.split(r"[-_]", name) if x]
+        if not parts:
+            continue
+        if _MARKS.intersection(parts):
+            return True
+        if parts[-1] in _WEAK_MARKS and not (parts[-1] == "header" and len(parts) > 1 and parts[0] in _OWN_HEADERS):
+            return True
+        if len(parts) > 1 and parts[0] in _WEAK_MARKS and parts[1] in _HOLDERS:
+            return True
+    return False
+
+
 class Node:
-    __slots__ = ("tag", "children", "dropped", "sign", "size")
+    __slots__ = ("tag", "children", "dropped", "sign", "size", "chars")
 
     def __init__(self, tag: str, dropped: bool) -> None:
         self.tag, self.dropped = tag, dropped
         self.children: list[Node | str] = []
         self.sign = ""
         self.size = 1
+        self.chars = 0
 
 
 def parse(page: str) -> Node:
@@ -99,7 +127,7 @@ def parse(page: str) -> Node:
         attrs = {} if not _SPACE.search(raw) else {a.lower(): b or c or d for a, b, c, d in _ATTR.findall(raw, _NAME.match(raw).end())}
         marked = f"{attrs.get('class', '')} {attrs.get('id', '')}"
         dropped = tag in DROPPED or "hidden" in attrs or attrs.get("role", "").lower() in _ROLES or attrs.get("aria-hidden") == "true"
-        node = Node(tag, dropped or (tag not in ("html", "body", "main", "article") and bool(_ROLE.search(marked))))
+        node = Node(tag, dropped or (tag not in ("html", "body", "main", "article") and _marked(marked)))
         stack[-1].children.append(node)
         if tag in VOID or raw.endswith("/>"):
             continue
@@ -118,20 +146,24 @@ def parse(page: str) -> Node:
 
 
 def _sign(node: Node) -> None:
-    """Equal signs: equal trees and texts.  Iterative, as trees may be very deep."""
+    """Equal signs: equal trees and texts, without what is dropped.  Iterative, as trees may be very deep."""
     order, todo = [], [node]
     while todo:
         n = todo.pop()
         order.append(n)
-        todo.extend(c for c in n.children if isinstance(c, Node))
+        todo.extend(c for c in n.children if isinstance(c, Node) and not c.dropped)
     for n in reversed(order):
-        parts = [c.sign if isinstance(c, Node) else " ".join(c.split()) for c in n.children]
-        n.sign = f"{n.tag}({xxhash.xxh64_hexdigest(chr(0).join(parts).encode('utf-8', 'replace'))})"
-        n.size = 1 + sum(c.size for c in n.children if isinstance(c, Node))
+        kids = [c for c in n.children if isinstance(c, Node) and not c.dropped]
+        texts = [" ".join(c.split()) for c in n.children if not isinstance(c, Node)]
+        # The order of texts and elements counts, the white space between elements does not.
+        parts = [c.sign if isinstance(c, Node) else " ".join(c.split()) for c in n.children if not (isinstance(c, Node) and c.dropped)]
+        n.sign = f"{n.tag}({xxhash.xxh64_hexdigest(chr(0).join(x for x in parts if x).encode('utf-8', 'replace'))})"
+        n.size = 1 + sum(c.size for c in kids)
+        n.chars = sum(map(len, texts)) + sum(c.chars for c in kids)
 
 
-def _content_root(root: Node) -> Node:
-    """The largest article or main element that is not boilerplate, else the page."""
+def _content_roots(root: Node) -> list[Node]:
+    """Article and main elements that are not boilerplate, in page order; else the page."""
     found, todo = [], [root]
     while todo:
         n = todo.pop()
@@ -140,10 +172,8 @@ def _content_root(root: Node) -> Node:
         if n.tag in ("article", "main"):
             found.append(n)
         else:
-            todo.extend(c for c in n.children if isinstance(c, Node))
-    for n in found if len(found) > 1 else ():
-        _sign(n)
-    return max(found, key=lambda n: n.size, default=root)
+            todo.extend(reversed([c for c in n.children if isinstance(c, Node)]))
+    return found or [root]
 
 
 def match(a: Node, b: Node, out: dict[int, Node]) -> int:
@@ -228,8 +258,8 @@ def match(a: Node, b: Node, out: dict[int, Node]) -> int:
     return scores.get((id(a), id(b)), 0)
 
 
-def text_of(root: Node, template: set[int]) -> str:
-    """The blocks outside dropped and template nodes."""
+def text_of(roots: list[Node], template: set[int]) -> str:
+    """The blocks of content outside dropped and template nodes."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -239,7 +269,7 @@ def text_of(root: Node, template: set[int]) -> str:
             blocks.append(text)
         line.clear()
 
-    todo: list[Node | str | None] = [root]
+    todo: list[Node | str | None] = [x for r in reversed(roots) for x in (None, r)]
     while todo:
         n = todo.pop()
         if n is None:
@@ -260,38 +290,46 @@ def text_of(root: Node, template: set[int]) -> str:
     return "\n\n".join(blocks)
 
 
-def induce(pages: list[str], least: int = 5, share: float = 0.8) -> list[str]:
+def induce(pages: list[str], least: int = 2, share: float = 0.8, few: int = 5) -> list[str]:
     """Main texts of same-host pages, with the template found by aligning them.
 
     Pages that are wholly equal in content count once, so copies can't make
-    their own text a template.
+    their own text a template; where there are fewer than ``few`` others, nor
+    can nodes that hold over half of the text of the page that is aligned to.
     """
     roots = [parse(p) for p in pages]
-    mains = [_content_root(r) for r in roots]
-    for m in mains:
-        _sign(m)
-    distinct = list({m.sign: m for m in mains}.values())
-    template: list[set[int]] = [set() for _ in mains]
+    mains = [_content_roots(r) for r in roots]
+    for r in roots:
+        _sign(r)
+    keys = [" ".join(m.sign for m in found) for found in mains]
+    first: dict[str, int] = {}
+    for k, key in enumerate(keys):
+        first.setdefault(key, k)
+    distinct = list(first.values())
+    template: list[set[int]] = [set() for _ in roots]
     if len(distinct) >= least:
-        # The page of middle size is what the others are aligned to.
-        pivot = sorted(distinct, key=lambda m: (m.size, m.sign))[len(distinct) // 2]
+        pivot = roots[sorted(distinct, key=lambda k: (roots[k].size, roots[k].sign))[len(distinct) // 2]]
+        nodes = {id(n): n for n in _nodes(pivot)}
         same: Counter[int] = Counter()
-        maps: dict[str, dict[int, Node]] = {}
-        for m in distinct:
-            maps[m.sign] = found = {}
-            match(pivot, m, found)
-            same.update(k for k, q in found.items() if _by_id(pivot)[k].sign == q.sign and q is not m)
-        fixed = {k for k, n in same.items() if n >= share * len(distinct)}
-        signs = {_by_id(pivot)[k].sign for k in fixed}
-        if signs:
-            for k, m in enumerate(mains):
-                if m.sign in maps:
-                    found = maps[m.sign]
-                    mine = {id(found[f]) for f in fixed if f in found and found[f].sign == _by_id(pivot)[f].sign}
-                    first = next(d for d in distinct if d.sign == m.sign)
-                    if first is not m:  # an equal page: its nodes with the same place
-                        mine = {id(b) for a, b in zip(_nodes(first), _nodes(m)) if id(a) in mine}
-                    template[k] = mine
+        maps: dict[int, dict[int, Node]] = {}
+        for k, r in enumerate(roots):
+            maps[k] = found = {}
+            match(pivot, r, found)
+            if first[keys[k]] == k:
+                same.update(f for f, q in found.items() if nodes[f].sign == q.sign)
+        fixed = {f for f, n in same.items() if n >= share * len(distinct) and f != id(pivot)}
+        # The tops of what is fixed, and how much of the text they hold.
+        tops, chars, todo = set(), 0, [pivot]
+        while todo:
+            n = todo.pop()
+            if id(n) in fixed:
+                tops.add(id(n))
+                chars += n.chars
+            else:
+                todo.extend(c for c in n.children if isinstance(c, Node) and not c.dropped)
+        if len(distinct) >= few or 2 * chars <= pivot.chars:
+            for k, found in maps.items():
+                template[k] = {id(found[f]) for f in tops if f in found and found[f].sign == nodes[f].sign}
     return [text_of(m, t) for m, t in zip(mains, template)]
 
 
@@ -300,20 +338,11 @@ def _nodes(root: Node) -> list[Node]:
     while todo:
         n = todo.pop()
         out.append(n)
-        todo.extend(c for c in n.children if isinstance(c, Node))
+        todo.extend(c for c in n.children if isinstance(c, Node) and not c.dropped)
     return out
 
 
-_LAST: list = [None, {}]
-
-
-def _by_id(root: Node) -> dict[int, Node]:
-    if _LAST[0] is not root:
-        _LAST[0], _LAST[1] = root, {id(n): n for n in _nodes(root)}
-    return _LAST[1]
-
-
-def extract(pages: DataFrame, group_most: int = 48, hosts_most: int = 65_536) -> DataFrame:
+def extract(pages: DataFrame, group_most: int = 256, hosts_most: int = 65_536) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars`` of every page.
 
     Only hosts with more than 1 / ``hosts_most`` of all pages are spread over

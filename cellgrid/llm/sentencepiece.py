@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding by a batched numpy Viterbi search.
 
 All different words of a batch that have the same length advance together,
-one character at a time.  The substrings that end there are probed by their
+one character at a time; long words, and texts without spaces, are cut where
+no piece can span, so that their parts advance together too.  The substrings that end there are probed by their
 polynomial hashes among the sorted piece keys, a vectorised maximum picks the
 last piece of each prefix, and its length is stored as the back pointer.
 
@@ -39,6 +40,8 @@ _BYTES_AT_ONCE = 8 << 20
 _CELLS_AT_ONCE = 1 << 18
 #: Spreads hashes (those of single characters are small) over all values; odd, so different ones stay different.
 _SPREAD = np.uint64(0xD1B54A32D192ED03)
+#: Words of more characters are cut where no piece can span.
+_LONG = 48
 _GATE_BITS = 18
 _GATE_SHIFT = np.uint64(64 - _GATE_BITS)
 
@@ -81,6 +84,7 @@ class Model:
         self.hashes[self.other] = np.uint64(0x1234567887654321)
         self.lengths = np.array([len(t) for t in self.texts[:-1]] + [1], np.int64)
         self.powers = np.array([pow(int(_BASE), k, 1 << 64) for k in range(2 * self.most + 2)], np.uint64)
+        self.pairs = np.unique(np.array([(ord(a) << 32) | ord(b) for t in texts for a, b in zip(t, t[1:])] or [0], np.uint64))
         self.space = next((int(i) for i in normal if self.pieces[i] == _MARK), -1)
         self.ids_of = {self.pieces[i]: int(i) for i in normal}
         self.bytes_of = {int(self.pieces[i][3:5], 16): int(i) for i in np.flatnonzero(self.kinds == 6)}
@@ -155,6 +159,14 @@ class Model:
             a, b = np.where(first, self.right[a], a), np.where(first, b, self.left[b])
         return out
 
+    def cut(self, word: str) -> list[str]:
+        """The word in parts that no piece can span: no piece has two characters that follow on each other at a cut."""
+        code = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        pair = (code[:-1] << np.uint64(32)) | code[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        cuts = (np.flatnonzero(self.pairs[at] != pair) + 1).tolist()
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
+
     def segment(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each of the words, which have one length."""
         ids, counts = self.segments(words)
@@ -308,8 +320,8 @@ class Codec:
             sizes = np.fromiter(map(len, part), np.int64, len(part))
             order = np.argsort(sizes, kind="stable")
             part, sizes = [part[k] for k in order.tolist()], sizes[order]
-            at = 0
-            while at < len(part):
+            at, usual = 0, int(np.searchsorted(sizes, _LONG, side="right"))
+            while at < usual:
                 cells = max(1, int(sizes[at])) * self.m.most
                 end = min(int(np.searchsorted(sizes, sizes[at], side="right")), at + max(1, _CELLS_AT_ONCE // cells))
                 bodies = [mark + w[fed:] for w in part[at:end]]
@@ -320,10 +332,30 @@ class Codec:
                 ids.append(got)
                 counts.append(n)
                 at = end
+            for got in self._long([mark + w[fed:] for w in part[usual:]]):
+                got = np.concatenate([feed, got]) if fed else got
+                ids.append(got)
+                counts.append(np.array([len(got)], np.int64))
             self.cache.update(zip(part, range(len(self.cache), len(self.cache) + len(part))))
         self.known, self.counts = np.concatenate(ids), np.concatenate(counts)
         self.starts = np.cumsum(self.counts) - self.counts
 
+    def _long(self, words: list[str]) -> Iterator[np.ndarray]:
+        """Ids of long words: the parts of all of them that have one length advance together."""
+        cut = [self.m.cut(w) for w in words]
+        parts = sorted({p for c in cut for p in c}, key=len)
+        found: dict[str, np.ndarray] = {}
+        at = 0
+        while at < len(parts):
+            size = len(parts[at])
+            end = at
+            while end < len(parts) and len(parts[end]) == size and (end - at) * size * self.m.most <= _CELLS_AT_ONCE:
+                end += 1
+            found.update(zip(parts[at:end], self.m.segment(parts[at:end])))
+            at = end
+        for c in cut:
+            yield np.concatenate([found[p] for p in c]).astype(np.int32)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the offsets of each text (null as empty)."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")

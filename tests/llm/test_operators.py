@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -233,6 +234,21 @@ def test_sentencepiece(docs):
     assert sentencepiece.encode(docs.limit(0), model).count() == 0
 
 
+def test_sentencepiece_without_spaces():
+    """Long texts without spaces are cut where no piece can span; ids stay the library's."""
+    public = pytest.importorskip("public_tokenizers")
+    import sentencepiece as library
+
+    path = public.path("piece_bpe_32k.model")
+    codec, lib = sentencepiece.Codec(sentencepiece.load(path)), library.SentencePieceProcessor(model_file=path)
+    rng = np.random.default_rng(1)
+    letters = np.array(list("ABCDEFabcdefghijklmnop0123456789+/"))
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9FFF, 3000))), "".join(letters[rng.integers(0, len(letters), 3000)]), "thequickbrownfox" * 90, "\n" + "é" * 90 + " " + "x" * 70 + "▁" * 5 + "y😀z" * 40]
+    for t in [*texts, "".join(texts)]:
+        ids, _ = codec.encode(pa.array([t]))
+        assert ids.tolist() == lib.encode(t)
+
+
 def test_viterbi_of_a_unigram_model():
     pieces = ["<unk>", "▁", "a", "b", "▁a", "ab", "▁ab", "ba"]
     model = sentencepiece.Model(pieces, np.array([0, -3, -2.5, -2.6, -2.2, -4.0, -5.5, -2.1]), np.array([2] + [1] * 7), False, False, True)
@@ -307,6 +323,56 @@ def test_html_long_deep_and_marked():
     assert marked == ["kept"]
 
 
+def test_html_without_marks():
+    """No article, no telling names: only alignment tells the template from the content."""
+    page = "<body><div><b>Site of {h}</b><i>All our pages</i></div><section><h1>T{k} {k}</h1><p>Body {k} of words {k}</p><p>Follow us here</p></section><div><span>Made in {h}</span></div></body>"
+    got = html_extract.induce([page.format(h="Home", k=k) for k in range(6)])
+    assert got == [f"T{k} {k}\n\nBody {k} of words {k}" for k in range(6)]
+    two = html_extract.induce([page.format(h="H", k="some longer words that vary and go on for a while " * 3), page.format(h="H", k="other words " * 9)])
+    assert all("Site of" not in t and "Follow" not in t and t.startswith("T") for t in two)
+    copies = html_extract.induce(["<body><p>One long text that both pages hold</p><p>a</p>", "<body><p>One long text that both pages hold</p><p>b</p>"])
+    assert copies == ["One long text that both pages hold\n\na", "One long text that both pages hold\n\nb"]
+
+
+def test_html_tags():
+    pages = ["<article><p title=it's>one</p><p title='a > b' data-x=\"it's\">two</p></article><article><p>three</p></article>", "<div class='post-related-content'>kept</div><div class='share-price'>9.5</div><div\nclass=\"navbar\">MENU</div><p hidden>no</p><div class='share-buttons'>Share</div>"]
+    assert html_extract.induce(pages[:1]) == ["one\n\ntwo\n\nthree"] and html_extract.induce(pages[1:]) == ["kept\n\n9.5"]
+
+
+def test_tree_matching_by_brute_force():
+    """Simple tree matching against its plain recursion on small random trees."""
+    import random
+
+    rng = random.Random(4)
+
+    def tree(depth):
+        return (rng.choice("ab"), [tree(depth - 1) for _ in range(rng.randrange(0, 4))] if depth else [])
+
+    def html(t):
+        tag = {"a": "div", "b": "section"}[t[0]]
+        return f"<{tag}>{''.join(map(html, t[1]))}</{tag}>"
+
+    def plain(x, y):
+        if x[0] != y[0]:
+            return 0
+        m = [[0] * (len(y[1]) + 1) for _ in range(len(x[1]) + 1)]
+        for i, p in enumerate(x[1]):
+            for j, q in enumerate(y[1]):
+                m[i + 1][j + 1] = max(m[i][j + 1], m[i + 1][j], m[i][j] + plain(p, q))
+        return m[-1][-1] + 1
+
+    for _ in range(200):
+        x, y = tree(3), tree(3)
+        roots = [html_extract.parse(f"<body>{html(t)}").children[0] for t in (x, y)]
+        for r in roots:
+            html_extract._sign(r)
+        found = {}
+        html_extract.match(*roots, found)
+        nodes = {id(n): n for n in html_extract._nodes(roots[0])}
+        assert all(nodes[k].tag == q.tag for k, q in found.items())
+        assert len(found) == plain(("r", [x]), ("r", [y]))
+
+
 def test_ann(spark):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((600, 24)).round(3)
@@ -314,7 +380,7 @@ def test_ann(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1020, [0.0] * 24), (1040, [float("nan")] * 24), (1060, [1.0]), (1080, [None] * 24), (None, x[0].tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = collections.defaultdict(list)
-    for r in sorted(ann.search(df, F.col("vec_id") % 20 == 0, 10, sample=300, block=64).collect()):
+    for r in sorted(ann.search(df, F.col("vec_id") % 20 == 0, 10, sample=300, sample_most=600, block=64).collect()):
         got[r.query_id].append((r.vec_id, r.score))
     hit = 0
     for q in range(0, 600, 20):

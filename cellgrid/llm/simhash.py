@@ -147,11 +147,12 @@ def links(distinct: DataFrame, budget: int = 2, group_most: int = 50_000, groups
     nodes = F.expr("array(" + ", ".join(f"named_struct('block', {k}, 'depth', {bits}, 'u', shiftrightunsigned({v}, {64 - bits}), 'v', shiftrightunsigned({v}, {64 - bits}), 'x', {v})" for k, v, bits in turned) + ")")
     spread = distinct.select(F.inline(nodes))
     key = ["block", "depth", "u", "v"]
-    most = group_most
+    rows = 0
     ready: DataFrame | None = None
     while True:
         sizes = spread.groupBy(*key).count()
         total = sizes.agg(F.sum("count")).first()[0] or 0
+        rows += total
         most = max(group_most, -(-total // groups_most))
         large = F.broadcast(common.materialise(sizes.where(F.col("count") > most).select(*key), "large"))
         if not large.limit(1).count():
@@ -203,7 +204,9 @@ def links(distinct: DataFrame, budget: int = 2, group_most: int = 50_000, groups
         if held and (out := close()):
             yield out
 
-    groups = ready.select(*key, "x").repartition(*key).sortWithinPartitions(*key)
+    # Rows are small and cost much, so their number sets the tasks, not their size.
+    tasks = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // 16_384))
+    groups = ready.select(*key, "x").repartition(tasks, *key).sortWithinPartitions(*key)
     return groups.mapInArrow(run, "a long, b long")
 
 

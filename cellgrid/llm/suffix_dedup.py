@@ -204,24 +204,25 @@ def _unbits(blob: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool)
 
 
-def _slices(sorted_hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Where each bucket (the upper ``bits``) begins among sorted hashes."""
-    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
-    return np.append(np.searchsorted(sorted_hashes, edges), len(sorted_hashes))
+def _slices(sorted_hashes: np.ndarray, bits: int) -> dict[int, slice]:
+    """Where the buckets (the upper ``bits``) that are not empty lie among sorted hashes."""
+    bucket = sorted_hashes >> np.uint64(64 - bits)
+    begin = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.empty(0, np.int64)
+    return {int(bucket[a]): slice(int(a), int(b)) for a, b in zip(begin, np.append(begin[1:], len(bucket)))}
 
 
-def _joined(flags: list, cuts: np.ndarray) -> np.ndarray:
-    out = np.zeros(int(cuts[-1]), bool)
+def _joined(flags: list, sorted_hashes: np.ndarray, bits: int) -> np.ndarray:
+    out, cuts = np.zeros(len(sorted_hashes), bool), _slices(sorted_hashes, bits)
     for f in flags or []:
-        a, b = cuts[f["bucket"]], cuts[f["bucket"] + 1]
-        out[a:b] = _unbits(f["flags"], int(b - a))
+        s = cuts[f["bucket"]]
+        out[s] = _unbits(f["flags"], s.stop - s.start)
     return out
 
 
 def _later(new: np.ndarray, names: np.recarray, flags: list, bits: int) -> np.ndarray:
     """In the order of names: all but the pack's first of a name, and firsts of which another pack has an earlier one."""
     out = ~new
-    out[new] = _joined(flags, _slices(names.h[new], bits))
+    out[new] = _joined(flags, names.h[new], bits)
     return out
 
 
@@ -235,7 +236,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
         raise ValueError(f"length must be at least {2 * MODULUS - 14}")
     packs = common.materialise(_packs(docs, key, text), "packs")
     total = packs.agg(F.sum("n")).first()[0] or 0
-    bits = min(16, max(2, (int(total * len(COVER) / MODULUS / names_per_bucket)).bit_length()))
+    # Buckets grow with the text, so that what one of them holds doesn't.
+    bits = min(32, max(2, (int(total * len(COVER) / MODULUS / names_per_bucket)).bit_length()))
     skip = np.uint64(16 - bits if bits < 16 else 0)
 
     def open_pack(r: dict) -> tuple[Pack, np.ndarray]:
@@ -250,20 +252,18 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
     def open_strings(r: dict) -> tuple[Pack, np.ndarray, np.ndarray]:
         pack, live = open_pack(r)
         names = pack.samples(live)[1]
-        return pack, live, pack.candidates(live, _joined(r["shared"], _slices(names, bits)))
+        return pack, live, pack.candidates(live, _joined(r["shared"], names, bits))
 
     def sent(pack: Pack, number: int, starts: np.ndarray, width: int | np.ndarray) -> Iterator[pa.RecordBatch]:
         order, new, names = pack.strings(starts, width)
         names, places = names[new], starts[order][new]
         ids = pack.ids[np.searchsorted(pack.ends, places, side="right")]
-        cuts, rows = _slices(names.h, bits), []
-        for k in range(1 << bits):
-            s = slice(cuts[k], cuts[k + 1])
-            if s.start < s.stop:
-                low, blob = _least(ids[s])
-                rows.append((k, number, names.h[s].astype("<u8").tobytes(), names.g[s].astype("<u4").tobytes(), low, blob))
+        rows = []
+        for k, s in _slices(names.h, bits).items():
+            low, blob = _least(ids[s])
+            rows.append((k, number, names.h[s].astype("<u8").tobytes(), names.g[s].astype("<u4").tobytes(), low, blob))
         if rows:
-            yield _batch(rows, ["bucket", "pack", "h", "g", "low", "ids"], [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()])
+            yield _batch(rows, ["bucket", "pack", "h", "g", "low", "ids"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()])
 
     def piece_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -276,11 +276,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
         for b in batches:
             for r in b.to_pylist():
                 _, names, _, counts = Pack.samples(*open_pack(r))
-                cuts = _slices(names, bits)
                 short = (names >> skip).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                rows = [(k, r["pack"], short[cuts[k] : cuts[k + 1]].tobytes(), _bits(counts[cuts[k] : cuts[k + 1]] > 1)) for k in range(1 << bits) if cuts[k] < cuts[k + 1]]
+                rows = [(k, r["pack"], short[s].tobytes(), _bits(counts[s] > 1)) for k, s in _slices(names, bits).items()]
                 if rows:
-                    yield _batch(rows, ["bucket", "pack", "names", "many"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
+                    yield _batch(rows, ["bucket", "pack", "names", "many"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
 
     def string_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -318,7 +317,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
         ends = np.cumsum(sizes)
         return pa.table([table.column("bucket"), table.column("pack"), pa.array([_bits(flags[e - n : e]) for e, n in zip(ends, sizes)], pa.binary())], names=["bucket", "pack", "flags"])
 
-    reply, named = "bucket int, pack long, flags binary", "bucket int, pack long, h binary, g binary, low long, ids binary"
+    reply, named = "bucket long, pack long, flags binary", "bucket long, pack long, h binary, g binary, low long, ids binary"
 
     def by_pack(flags: DataFrame, name: str) -> DataFrame:
         return common.materialise(flags.groupBy("pack").agg(F.collect_list(F.struct("bucket", "flags")).alias(name)), name)
@@ -329,7 +328,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
         return found.join(back, "pack", "left")
 
     found = ask(packs, piece_names, named, later_strings, "pieces")
-    found = ask(found, sample_names, "bucket int, pack long, names binary, many binary", shared_names, "shared")
+    found = ask(found, sample_names, "bucket long, pack long, names binary, many binary", shared_names, "shared")
     found = ask(found, string_names, named, later_strings, "later")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

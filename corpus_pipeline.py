@@ -2,6 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows that its
 predecessor kept, and all but the last return the columns of ``documents``.
+Null and empty texts are texts without words; rows with null or repeated ids
+are rows like others; an empty table stays empty; columns besides those of
+``documents`` are left out.
 """
 
 from __future__ import annotations
@@ -9,13 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import mixing, pii, quality, queries, sentencepiece, simhash
+from cellgrid.llm import common, mixing, pii, quality, queries, sentencepiece, simhash
 from cellgrid.llm.common import materialise, read
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base limits or the learned decision list reject go."""
     rules = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.judge(docs, rules).where("kept").select(*COLUMNS)
 
@@ -29,11 +33,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every span of personal data gives way to its kind in angle brackets; ``n_chars`` follows.  No row goes."""
     found = pii.find(docs, pii.fit(spark))
     return pii.redact(found).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose rate leaves them no copy go; a rate above one keeps a document once."""
     model = mixing.fit(docs, queries.domains_of(read(spark, sf_dir, "labels")), queries.DOMAINS)
     scored = materialise(mixing.score(docs, model), "scored")
     rated = mixing.with_rates(scored, mixing.fit_rates(scored, queries.WEIGHTS))
@@ -41,6 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each text, and how many they are."""
     return sentencepiece.encode(docs.select("doc_id", "text", "lang", "source"), queries.piece_model()).drop("text")
 
 
@@ -57,9 +64,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, first = read(spark, sf_dir, "documents"), len(common.MADE)
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialise(docs, f"stage{k}")
+            done = common.MADE[-1]
+            # Only what the next stage reads stays.
+            common.drop_made(spark, first, [done])
+            first = len(common.MADE) - 1
     return docs

@@ -22,7 +22,10 @@ has to fit one task.
 Defined cases: vectors that are null, zero, of another length than the most
 frequent one, or that hold null or non-finite components take no part; rows
 with a null id neither; fewer than k candidates are all returned; equal
-scores go by the smaller id; an empty table gives no rows.
+scores go by the smaller id; an empty table gives no rows.  Rows that repeat
+an id are one query, whose results are the best of all its vectors, and one
+candidate of others, with its best score.  No other column is used, whatever
+its name.
 """
 
 from __future__ import annotations

@@ -34,6 +34,18 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Folders that ``materialise`` has written in this process.
+MADE: list[str] = []
+
+
+def drop_made(spark: SparkSession, since: int, keep: list[str]) -> None:
+    """Delete what was materialised after the first ``since`` folders, but for ``keep``."""
+    for path in [p for p in MADE[since:] if p not in keep]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        MADE.remove(path)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
@@ -43,6 +55,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    MADE.append(path)
     before = spark.conf.get(_CLEAN, "false")
     spark.conf.set(_CLEAN, "true")
     try:

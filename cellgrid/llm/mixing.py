@@ -12,9 +12,10 @@ ends when every domain is within ``tolerance`` of its own target; shares
 that no rates reach end at the least squares found, and the result says so.
 
 Defined cases: a null or blank text has no tokens and moves no total; its
-rate follows its posterior like any other; repeated rows get equal rates;
-columns pass through unless named as results; without labelled rows of two
-domains every posterior is the first domain's and every rate is 1.
+rate follows its posterior like any other; texts of any length are read
+whole; repeated rows get equal rates; an empty table gives no rows and no
+steps; columns pass through unless named as results; without labelled rows of
+two domains every posterior is the first domain's and every rate is 1.
 """
 
 from __future__ import annotations

@@ -15,8 +15,10 @@ first), which yields the merges' own segmentation.
 Pieces are taken to hold a space mark only at their start, or to be runs of
 space marks; runs of spaces are segmented apart.  Defined cases: a null text
 has null ids, an empty one no ids; characters without a piece become byte
-pieces, else the unknown piece; repeated rows are encoded alike; columns of
-the input pass through unless named as results.
+pieces, else the unknown piece; texts of any length are encoded whole;
+repeated rows are encoded alike; an empty table gives no rows; columns of the
+input pass through unless named as results (``ids``, ``n_tokens`` and that of
+the check), which replace them.
 """
 
 from __future__ import annotations

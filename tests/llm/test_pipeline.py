@@ -1,9 +1,13 @@
-"""The near-dedup stage against brute force over all pairs."""
+"""The stages of the pipeline against brute force."""
 
+import collections
 import random
+import re
+
+import pytest
 
 import corpus_pipeline
-from cellgrid.llm import jaccard
+from cellgrid.llm import common, jaccard
 
 
 def _grams(text):
@@ -49,3 +53,69 @@ def test_near_dedup_stage(spark):
 def test_jaccard_limit():
     x, y = set(range(8)), set(range(10))
     assert jaccard.near(x, y) and not jaccard.near(x - {0}, y) and jaccard.near(set(), set())
+
+
+def _components(grams):
+    root = {i: i for i in grams}
+    for i in grams:
+        for j in grams:
+            x, y = grams[i], grams[j]
+            if i < j and root[i] != root[j] and (x == y or (x and y and len(x & y) / len(x | y) >= 0.8)):
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    return root
+
+
+def test_stages_one_by_one(spark, tmp_path):
+    public = pytest.importorskip("public_tokenizers")
+    import sentencepiece as library
+
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    odd = spark.createDataFrame([(None, None, "en", "s", None), (None, "", None, None, 0), (5, "short text", "en", "s", 10), (10**6, " ".join(dict.fromkeys(a + b + "on" for a in "bdfglmnprst" for b in ("a", "e", "i", "o", "u", "ea", "ou"))) + ". Mail a.b@c-d.org or +1 (017) 555-7713 now.", "en", "s", 5)], source.schema)
+    docs = source.unionByName(odd).unionByName(source.limit(3))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet("/root/testdata/sf0.001/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    made = len(common.MADE)
+    at, outs = docs, []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, at, str(tmp_path)).write.parquet(str(tmp_path / f"s{k}"))
+        at = spark.read.parquet(str(tmp_path / f"s{k}"))
+        outs.append(at.collect())
+        assert k == 4 or at.columns == corpus_pipeline.COLUMNS
+        # An empty table stays empty.
+        assert k in (1, 3) or stage(spark, at.limit(0) if k < 4 else outs_df.limit(0), str(tmp_path)).count() == 0
+        outs_df = at
+    first, second, third, fourth, fifth = outs
+
+    def words(t):
+        return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+    def failed(t):
+        w = words(t)
+        grams = collections.Counter(tuple(w[k : k + 3]) for k in range(len(w) - 2))
+        again = {p for k in range(len(w) - 2) if grams[tuple(w[k : k + 3])] > 1 for p in (k, k + 1, k + 2)}
+        return len(w) < 50 or 100 * len(again) > 50 * len(w)
+
+    before = collections.Counter((r.doc_id, r.text) for r in docs.collect())
+    after = collections.Counter((r.doc_id, r.text) for r in first)
+    assert not after - before and not any(failed(t) for _, t in after) and len(first) > 0.5 * sum(n for (_, t), n in before.items() if not failed(t))
+    root = _components({k: _grams(r.text) for k, r in enumerate(first)})
+    groups = collections.defaultdict(list)
+    for k, r in enumerate(first):
+        groups[root[k]].append(r)
+    assert len(second) == len(groups)
+    assert sorted(r.doc_id for r in second) == sorted(min(x.doc_id for x in g) for g in groups.values())
+    texts = {r.doc_id: r.text for r in second}
+    assert sorted(r.doc_id for r in third) == sorted(texts)
+    for r in third:
+        assert not re.search(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r.text) and r.n_chars == len(r.text)
+        if not re.search(r"[0-9@]", texts[r.doc_id]):
+            assert r.text == texts[r.doc_id]
+    assert any("<EMAIL> or <PHONE>" in r.text for r in third)
+    assert {r.doc_id for r in fourth} <= {r.doc_id for r in third} and len(fourth) > 0.8 * len(third)
+    lib = library.SentencePieceProcessor(model_file=public.path("piece_bpe_32k.model"))
+    text = {r.doc_id: r.text for r in fourth}
+    assert all(r.ids == lib.encode(text[r.doc_id]) and r.n_tokens == len(r.ids) for r in fifth) and len(fifth) == len(fourth)
+    whole = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted((r.doc_id, r.ids) for r in whole.collect()) == sorted((r.doc_id, r.ids) for r in fifth)
+    assert len(common.MADE) > made

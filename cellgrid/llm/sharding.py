@@ -134,11 +134,11 @@ def _counts_of_ids(keys: DataFrame, h: int, ranges: list[tuple[int, int]], bins:
     return {k: sorted(v) for k, v in out.items()}
 
 
-def shard(docs: DataFrame, shards: int = 8, text: str = "text", key: str = "doc_id", tolerance: float = 0.002, spread: int = 256) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 8, text: str = "text", key: str = "doc_id", tolerance: float = 0.002, part_rows: int = 262_144) -> DataFrame:
     """``docs`` with ``size``, ``text_crc32``, ``shard`` and ``slot`` (gapless from 0 in each shard).
 
-    Slots follow from one exchange by shard and a hash of the id; ``shards *
-    spread`` counts give each part its first slot.
+    Slots follow from one exchange by shard and a part of it, by a hash of the id, of about ``part_rows`` rows; the
+    first slot of each part is looked up in a broadcast of one row for ``part_rows`` rows (32 a shard at least).
     """
     body = common.whole_text(text)
     ids = F.coalesce(F.col(key).cast("long"), F.lit(_LEAST_ID))
@@ -147,28 +147,27 @@ def shard(docs: DataFrame, shards: int = 8, text: str = "text", key: str = "doc_
     )
     keys = common.materialise(docs.select(_order_key(body).alias("h"), ids.alias("id"), (F.octet_length(body).cast("long") + 1).alias("size")), "keys")
     splitters = find_splitters(keys, shards, tolerance)
+    spread = max(32, -(-keys.count() // (shards * part_rows)))
 
     def place(h: Column, i: Column) -> Column:
-        out = F.lit(0)
-        for s in splitters:
-            out = out + s.reached(h, i).cast("int")
-        return out
+        """The shard, by halving the list of splitters."""
+
+        def among(low: int, high: int) -> Column:
+            if low == high:
+                return F.lit(low)
+            mid = (low + high) // 2
+            return F.when(splitters[mid].reached(h, i), among(mid + 1, high)).otherwise(among(low, mid))
+
+        return among(0, len(splitters))
 
     def part(h: Column, i: Column) -> Column:
         return F.pmod(F.xxhash64(h, i), F.lit(spread)).cast("int")
 
-    counted = keys.groupBy(place(F.col("h"), F.col("id")).alias("shard"), part(F.col("h"), F.col("id")).alias("part")).count().collect()
-    first: list[int] = [0] * (shards * spread)
-    total = [0] * shards
-    for r in sorted(counted, key=lambda r: (r["shard"], r["part"])):
-        first[r["shard"] * spread + r["part"]] = total[r["shard"]]
-        total[r["shard"]] += r["count"]
-    h, i, p = (common.free_name(sized, x) for x in ("_h", "_id", "_part"))
+    h, i, p, first = (common.free_name(sized, x) for x in ("_h", "_id", "_part", "_first"))
+    counted = keys.groupBy(place(F.col("h"), F.col("id")).alias("shard"), part(F.col("h"), F.col("id")).alias(p)).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
+    starts = common.materialise(counted.select("shard", p, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(first)), "starts")
     rows = sized.withColumns({h: _order_key(body), i: ids})
-    rows = rows.withColumns({"shard": place(F.col(h), F.col(i)), p: part(F.col(h), F.col(i))})
-    within = Window.partitionBy("shard", p).orderBy(h, i)
-    starts = F.array(*map(F.lit, first)).cast("array<bigint>") if spread * shards <= 4096 else None
-    if starts is None:
-        raise ValueError("shards * spread is over 4096")
-    slot = F.element_at(starts, F.col("shard") * spread + F.col(p) + 1) + F.row_number().over(within) - 1
-    return rows.withColumn("slot", slot.cast("long")).drop(h, i, p)
+    rows = rows.withColumns({"shard": place(F.col(h), F.col(i)), p: part(F.col(h), F.col(i))}).join(F.broadcast(starts), ["shard", p])
+    slot = F.col(first) + F.row_number().over(Window.partitionBy("shard", p).orderBy(h, i)) - 1
+    return rows.withColumn("slot", slot.cast("long")).select(*sized.columns, "shard", "slot")

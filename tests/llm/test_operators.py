@@ -93,7 +93,7 @@ def test_trie():
 
 def test_sharding(docs):
     hot = docs.unionByName(docs.where("doc_id = 8").withColumn("doc_id", F.explode(F.sequence(F.lit(100), F.lit(400)))))
-    out = sharding.shard(hot, 4, spread=8).select("text", "size", "text_crc32", "shard", "slot").collect()
+    out = sharding.shard(hot, 4, part_rows=50).select("text", "size", "text_crc32", "shard", "slot").collect()
     by = collections.defaultdict(list)
     for r in out:
         raw = (r.text or "").encode()
@@ -111,7 +111,7 @@ def test_sharding_of_a_group_with_ids_over_all_longs(spark):
     wide = rows.selectExpr("CASE WHEN text LIKE 'x%' THEN xxhash64(doc_id) ELSE doc_id END AS doc_id", "text")
     ends = spark.sql("SELECT explode(array(NULL, -9223372036854775808L, 9223372036854775807L)) AS doc_id, repeat('x', 40) AS text")
     for df in (rows.unionByName(ends.limit(1)), wide.unionByName(ends)):
-        out = sharding.shard(df, 4, spread=8).collect()
+        out = sharding.shard(df, 4, part_rows=50).collect()
         sizes = collections.Counter()
         for r in out:
             sizes[r.shard] += r["size"]

@@ -23,6 +23,7 @@ handled alike; columns of ``docs`` pass through unless named as the results
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -175,7 +176,8 @@ class Model:
 def fit(spark: SparkSession, least: float = 0.9, n: int = 3_000, seed: int = 5) -> Model:
     """Trees and calibration from ``n`` written examples, which are all that comes to the driver."""
     written = examples(n, seed)
-    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(written)], "doc_id long, text string")
+    rows = json.dumps([{"doc_id": k, "text": t} for k, (t, _) in enumerate(written)])
+    df = spark.sql("SELECT inline(from_json(:rows, 'array<struct<doc_id:bigint,text:string>>'))", args={"rows": rows})
     names = list(FEATURES)
     rows = _with_candidates(df, "text").select("doc_id", F.explode("_pii_cand").alias("c")).select("doc_id", *(F.col(f"c.{f}").alias(f) for f in names)).collect()
     rows.sort(key=lambda r: tuple(r))

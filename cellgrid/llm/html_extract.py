@@ -3,11 +3,15 @@
 Pages of one host are aligned as whole trees, in groups of bounded size, by
 simple tree matching with the page of middle size.  A node that is the same
 in nearly all pages of its group, although their other content differs, is
-part of the host's template; slots that vary are content.  What varies and
-still is no article is told by its role: elements that HTML itself or their
-class names mark as navigation, header, footer, sidebar, notice, advert, form
-or reader comments never count as content, and article and main elements,
-where a page has any, bound it.
+part of the host's template; slots that vary are content.  Among the slots,
+the way to the main one leads, from the top, to the container that holds most
+of the text of all aligned pages outside of links; containers beside that way
+that are small against it, or mostly links, are no content on any page.  What
+varies and still is no article is also told by its role: elements that HTML
+itself or their class names mark as navigation, header, footer, sidebar,
+notice, advert, form or reader comments never count as content.  Article and
+main elements bound the content of pages that have any where the host has too
+few other pages to tell its main slot.
 
 Pages that are equal in content count once, and of two to four pages nodes
 that make up most of the text are no template, so that copies of one article
@@ -44,6 +48,8 @@ RAW = set("script style textarea title noscript template iframe xmp".split())
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 DROPPED = set("script style noscript template iframe head title nav header footer aside form button select option textarea input label svg canvas object embed menu dialog".split())
 CLOSES_P = BLOCKS - {"html", "body"}
+CONTAINERS = set("html body div section center table tbody tr td article main".split())
+SLOTS = CONTAINERS | set("ul ol dl details fieldset span a".split())
 #: Parts of class names and ids that mark what is no article, wherever they stand in a name, and those that do so alone,
 #: at its end, or before a word for a container (fixed values).
 _MARKS = set("nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar aside ad ads advert adverts advertisement cookie cookies consent popup modal newsletter disqus pagination comments replies".split())
@@ -73,7 +79,7 @@ def _marked(names: str) -> bool:
 
 
 class Node:
-    __slots__ = ("tag", "children", "dropped", "sign", "size", "chars")
+    __slots__ = ("tag", "children", "dropped", "sign", "size", "chars", "links")
 
     def __init__(self, tag: str, dropped: bool) -> None:
         self.tag, self.dropped = tag, dropped
@@ -81,6 +87,7 @@ class Node:
         self.sign = ""
         self.size = 1
         self.chars = 0
+        self.links = 0
 
 
 def parse(page: str) -> Node:
@@ -160,6 +167,7 @@ def _sign(node: Node) -> None:
         n.sign = f"{n.tag}({xxhash.xxh64_hexdigest(chr(0).join(x for x in parts if x).encode('utf-8', 'replace'))})"
         n.size = 1 + sum(c.size for c in kids)
         n.chars = sum(map(len, texts)) + sum(c.chars for c in kids)
+        n.links = n.chars if n.tag == "a" else sum(c.links for c in kids)
 
 
 def _content_roots(root: Node) -> list[Node]:
@@ -258,6 +266,41 @@ def match(a: Node, b: Node, out: dict[int, Node]) -> int:
     return scores.get((id(a), id(b)), 0)
 
 
+def _kids(n: Node) -> list[Node]:
+    return [c for c in n.children if isinstance(c, Node) and not c.dropped]
+
+
+def _way(pivot: Node, maps: list[dict[int, Node]], fixed: set[int], share: float = 0.6) -> list[tuple[Node, Node, set[int]]]:
+    """Steps (parent, child) from the top to the main slot, with the slots beside the child that are small against it, or mostly links."""
+    out, n = [], pivot
+    while True:
+        mass, links = {}, {}
+        for c in _kids(n):
+            found = [] if id(c) in fixed else [m[id(c)] for m in maps if id(c) in m]
+            mass[id(c)], links[id(c)] = sum(q.chars - q.links for q in found), sum(q.links for q in found)
+        best = max(_kids(n), key=lambda c: mass[id(c)], default=None)
+        if best is None or best.tag not in CONTAINERS or not _kids(best) or mass[id(best)] < share * max(1, sum(mass.values())):
+            return out
+        most = mass[id(best)]
+        out.append((n, best, {id(c) for c in _kids(n) if c is not best and c.tag in SLOTS and (10 * mass[id(c)] < most or links[id(c)] > mass[id(c)])}))
+        n = best
+
+
+def _beside(way: list[tuple[Node, Node, set[int]]], found: dict[int, Node]) -> set[int]:
+    """Nodes of a page that stand beside the way to its main slot and are no content."""
+    out = set()
+    for n, best, small in way:
+        if id(n) not in found or id(best) not in found:
+            break
+        main = found[id(best)]
+        slots = {id(found[k]): k in small for k in map(id, _kids(n)) if k in found}
+        for c in _kids(found[id(n)]):
+            # What stands in no slot of the other pages is judged by its own text.
+            if c is not main and c.tag in SLOTS and slots.get(id(c), 10 * c.chars < main.chars or 2 * c.links > c.chars):
+                out.add(id(c))
+    return out
+
+
 def text_of(roots: list[Node], template: set[int]) -> str:
     """The blocks of content outside dropped and template nodes."""
     blocks: list[str] = []
@@ -327,9 +370,14 @@ def induce(pages: list[str], least: int = 2, share: float = 0.8, few: int = 5) -
                 chars += n.chars
             else:
                 todo.extend(c for c in n.children if isinstance(c, Node) and not c.dropped)
-        if len(distinct) >= few or 2 * chars <= pivot.chars:
-            for k, found in maps.items():
-                template[k] = {id(found[f]) for f in tops if f in found and found[f].sign == nodes[f].sign}
+        if len(distinct) < few and 2 * chars > pivot.chars:
+            tops = set()
+        way = _way(pivot, [maps[k] for k in distinct], tops)
+        for k, found in maps.items():
+            template[k] = {id(found[f]) for f in tops if f in found and found[f].sign == nodes[f].sign}
+            if mains[k] == [roots[k]] or (way and len(distinct) >= few):
+                mains[k] = [roots[k]]  # the wrapper bounds the content
+                template[k] |= _beside(way, found)
     return [text_of(m, t) for m, t in zip(mains, template)]
 
 

@@ -334,6 +334,16 @@ def test_html_without_marks():
     assert copies == ["One long text that both pages hold\n\na", "One long text that both pages hold\n\nb"]
 
 
+def test_html_slots_without_marks():
+    """Menu, advert and footer differ on every page and have no telling names: the main slot is told by its text."""
+    def page(k):
+        menu = "".join(f"<li><a href=/{k}{i}>Item {k} {i}</a></li>" for i in range(6))
+        return f"<body><div><ul>{menu}</ul></div><div>Buy {k} now</div><div><h1>Title {k}</h1>{''.join(f'<p>Paragraph {i} of page {k} with some more words in it.</p>' for i in range(4 + k % 3))}</div><div><p>Written by {k}</p></div></body>"
+
+    got = html_extract.induce([page(k) for k in range(7)])
+    assert got == ["\n\n".join([f"Title {k}", *(f"Paragraph {i} of page {k} with some more words in it." for i in range(4 + k % 3))]) for k in range(7)]
+
+
 def test_html_tags():
     pages = ["<article><p title=it's>one</p><p title='a > b' data-x=\"it's\">two</p></article><article><p>three</p></article>", "<div class='post-related-content'>kept</div><div class='share-price'>9.5</div><div\nclass=\"navbar\">MENU</div><p hidden>no</p><div class='share-buttons'>Share</div>"]
     assert html_extract.induce(pages[:1]) == ["one\n\ntwo\n\nthree"] and html_extract.induce(pages[1:]) == ["kept\n\n9.5"]

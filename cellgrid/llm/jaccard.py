@@ -8,20 +8,23 @@ classes come from two sides:
   bits, which finds the closest copies;
 * shingles are ordered by one global order; two near sets have a shingle in
   common among the first ``n - ceil(4 n / 5) + 1`` of each, whatever the
-  order is, so only those are dealt out by shingle.  The order puts shingles
-  that are common in a bounded sample last, which keeps groups small; the
-  sample decides the cost, never the result.  Members of a group are compared
-  with their neighbours by size, which joins most of a large group of near
-  copies; then members that are still in different components are compared.
-
-Fingerprints of candidates from shingles must lie within ``budget`` bits:
-at a similarity of 0.8 bits differ independently with a probability of about
-0.15, so that more than 24 of 64 differ for fewer than one pair in 100,000.
-Every pair that is linked has been verified on the two texts.
-
-A shingle with more than 1 / 1024 of all entries is split: neighbours are
-sought in its parts, whose first members are compared with one pivot, and
-members of different components by pairs of parts.
+  order is, so only those are dealt out by shingle, once.  The order puts
+  shingles that are common in a bounded sample last, which keeps groups
+  small; the sample decides the cost, never the result.  First members of a
+  group are compared with their neighbours by fingerprint, of which each
+  document keeps the ``closest`` ones; this joins most of a large group of
+  near copies.  Then all members of a group that are still in different
+  components are compared.
+
+Candidates must be of near sizes, and their fingerprints of 256 bits within
+``budget`` bits: at a similarity of 0.8 bits differ independently with a
+probability of about 0.15, so that more than 70 differ for fewer than one pair
+in a million.  Every pair that is linked has been verified on the two texts.
+
+A shingle with more than 1 / 1024 of all entries, as far as a sixteenth of
+the documents shows, is split: neighbours are sought in its parts, whose first
+members are compared with one pivot, and members of different components by
+pairs of parts.
 
 Defined cases: words are as in ``simhash``; a text of fewer words than
 ``width`` is one shingle; null, empty and blank texts are one class; rows are
@@ -78,8 +81,20 @@ def common_shingles(docs: DataFrame, width: int, sample: int, least: int = 20, m
     return h[order], n[order]
 
 
+_MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+
+
+def _wide(s: np.ndarray) -> list[int]:
+    """Four fingerprints of a set, by four hashes of each member."""
+    out = [simhash.bits_of(s.astype("<u8"))]
+    for m in _MIX:
+        x = (s ^ (s >> np.uint64(29))) * m
+        out.append(simhash.bits_of((x ^ (x >> np.uint64(32))).astype("<u8")))
+    return out
+
+
 def _prints(docs: DataFrame, width: int, usual: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``id``, two halves of a hash of the whole set, its size, its fingerprint and the prefix."""
+    """``id``, two halves of a hash of the whole set, its size, its fingerprints (``fp`` and three more) and the prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(usual)  # bounded by `most` of common_shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,12 +111,12 @@ def _prints(docs: DataFrame, width: int, usual: tuple[np.ndarray, np.ndarray]) -
                 tops.append(whole >> 64)
                 lows.append(whole & (1 << 64) - 1)
                 sizes.append(n)
-                marks.append(simhash.bits_of(s.astype("<u8")))
+                marks.append(_wide(s))
                 prefixes.append(s[np.lexsort((s, rank))[: n - -(-4 * n // 5) + 1]].view(np.int64))
-            halves = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (tops, lows, marks)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *halves, pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["id", "top", "low", "fp", "n", "prefix"])
+            halves = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (tops, lows, *(zip(*marks) if marks else [[]] * 4))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *halves, pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["id", "top", "low", "fp", "f1", "f2", "f3", "n", "prefix"])
 
-    return docs.mapInArrow(run, "id long, top long, low long, fp long, n int, prefix array<long>")
+    return docs.mapInArrow(run, "id long, top long, low long, fp long, f1 long, f2 long, f3 long, n int, prefix array<long>")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -125,25 +140,53 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return ends.select("a", "b", "text").repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(run, "a long, b long")
 
 
+def _grouped(entries: DataFrame) -> DataFrame:
+    """``entries`` (h, part, id, s) of groups of two or more, and of all parts, with the ``last`` id before in the group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None  # the last two rows: one that is out, and one that waits for its successor
+        names = ["h", "part", "id", "s", "last"]
+
+        def out(t: pa.Table, first: int, end: int) -> pa.RecordBatch:
+            h, part, ids = (t.column(k).to_numpy() for k in range(3))
+            same = np.concatenate(([False], (h[1:] == h[:-1]) & (part[1:] == part[:-1]))) if len(h) else np.empty(0, bool)
+            near = same | np.append(same[1:], False) | (part >= 0)
+            rows = np.flatnonzero(near[first:end]) + first
+            last = pa.array(ids[np.maximum(rows - 1, 0)], mask=~same[rows])
+            return pa.RecordBatch.from_arrays([*(t.column(k).take(pa.array(rows)).combine_chunks() for k in range(4)), last], names=names)
+
+        before = 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+            yield out(t, before, t.num_rows - 1)
+            held = t.slice(max(0, t.num_rows - 2))
+            before = held.num_rows - 1
+        if held is not None:
+            yield out(held, before, held.num_rows)
+
+    sorted_ = entries.repartition("h", "part").sortWithinPartitions("h", "part", "s", "id")
+    return sorted_.select("h", "part", "id", "s").mapInArrow(run, "h long, part int, id long, s int, last long")
+
+
 def _across(named: DataFrame, budget: int) -> DataFrame:
-    """Pairs (a, b) of one group and of different roots, of sizes and fingerprints that may be near; rows (h, i, j, id, n, fp, root, part)."""
+    """Pairs (a, b) of one group and of different roots; rows (h, i, j, id, s, root, part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
         def pairs(t: pa.Table) -> pa.RecordBatch:
-            h, i, j, ids, n, fp, root, part = (t.column(k).to_numpy() for k in range(8))
-            fp, n, out = fp.view(np.uint64), n.astype(np.int64), []
-            many = np.flatnonzero(np.concatenate(([True], (np.diff(h) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)))) if len(h) else np.empty(0, np.int64)
+            h, i, j, ids, s, root, part = (t.column(k).to_numpy() for k in range(7))
+            s, out = s.view(np.uint32), []
+            many = np.flatnonzero(np.concatenate(([True], (np.diff(h) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0))))
             ends = np.repeat(np.append(many[1:], len(h)), np.diff(np.append(many, len(h))))
             at = np.arange(len(h))
             step = 1
             while len(at := at[at + step < ends[at]]):
                 x, y = at, at + step
-                ok = (root[x] != root[y]) & (5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y]))
-                ok &= (i[x] == j[x]) | (part[x] != part[y])
-                x, y = x[ok], y[ok]
-                ok = np.bitwise_count(fp[x] ^ fp[y]) <= budget
+                ok = (root[x] != root[y]) & ((i[x] == j[x]) | (part[x] != part[y])) & (np.bitwise_count(s[x] ^ s[y]) <= budget)
                 out.append((ids[x[ok]], ids[y[ok]]))
                 step += 1
             a = np.concatenate([np.minimum(*o) for o in out]) if out else np.empty(0, np.int64)
@@ -151,10 +194,12 @@ def _across(named: DataFrame, budget: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for b in batches:
+            if not b.num_rows:
+                continue
             t = pa.Table.from_batches([b])
             t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
             key = [t.column(k).to_numpy() for k in range(3)]
-            same = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1])) if t.num_rows else []
+            same = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1]))
             cut = int(same[-1]) + 1 if len(same) else 0
             if cut:  # the last group may go on
                 yield pairs(t.slice(0, cut))
@@ -165,55 +210,65 @@ def _across(named: DataFrame, budget: int) -> DataFrame:
     return named.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def kept(docs: DataFrame, width: int = 5, sample: int = 20_000, budget: int = 24, part_most: int = 20_000) -> DataFrame:
+def kept(docs: DataFrame, width: int = 5, sample: int = 20_000, budget: int = 70, closest: int = 4, part_most: int = 20_000) -> DataFrame:
     """``docs`` without the rows that are near one that stays linked to them: of each component one row, of the smallest doc_id, stays."""
+    spark, made = docs.sparkSession, len(common.MADE)
     _id, columns = common.free_name(docs, "_row"), docs.columns
     docs = common.materialise(docs.withColumn(_id, F.monotonically_increasing_id()), "rows")
+    keep = [common.MADE[-1]]
     texts = docs.select(F.col(_id).alias("id"), F.col("text").cast("string"))
     prints = common.materialise(_prints(texts, width, common_shingles(texts, width, sample)), "prints")
     order = docs.select(F.col(_id).alias("id"), F.col("doc_id").cast("long"))
     ranked = prints.select("id", "top", "low").join(order, "id").select("top", "low", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id").alias("rank"))
     classes = common.materialise(ranked.groupBy("top", "low").agg(F.min("rank").alias("rank")).select("rank.id", "rank"), "classes")
-    members = common.materialise(prints.join(classes.select("id"), "id", "left_semi").select("id", "fp", "n", "prefix"), "class_prints")
-    entries = members.select(F.explode("prefix").alias("h"), "id", "n", "fp")
-    counts = entries.groupBy("h").agg(F.count("*").alias("rows"), F.min(F.struct("n", "id", "fp")).alias("pivot"))
-    counts = common.materialise(counts.where("rows > 1"), "counts")
-    total = counts.agg(F.sum("rows")).first()[0] or 0
+    members = common.materialise(prints.drop("top", "low").join(classes.select("id"), "id", "left_semi"), "members")
+    common.drop_made(spark, made, [p for p in common.MADE[made:] if "/prints-" not in p])
+    sketch = members.drop("prefix")
+    entries = members.select(F.explode("prefix").alias("h"), "id", F.shiftright("fp", 32).cast("int").alias("s"))
+    # Which shingles are split changes the cost, never the pairs.
+    some = members.where("pmod(xxhash64(id), 16) = 0").select(F.explode("prefix").alias("h"), "id")
+    total = members.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    seen = some.groupBy("h").agg((16 * F.count("*")).alias("rows"), F.min("id").alias("pivot"))
     parts = F.ceil(F.col("rows") / part_most).cast("int")
-    hot = F.broadcast(common.materialise(counts.where(F.col("rows") * common.HOT_KEYS > total).select("h", "pivot", F.greatest(parts, F.lit(2)).alias("parts")), "hot"))
-    # Shingles of one document only make no pairs.
-    few = entries.join(hot, "h", "left_anti").join(counts.select("h"), "h", "left_semi").select("h", F.lit(0).alias("part"), "id", "n", "fp")
-    many = entries.join(hot, "h").select("h", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "n", "fp")
-    groups = common.materialise(few.unionByName(many), "groups")
+    hot = F.broadcast(common.materialise(seen.where(F.col("rows") * common.HOT_KEYS > total + 16 * common.HOT_KEYS).select("h", "pivot", F.greatest(parts, F.lit(2)).alias("parts")), "hot"))
+    dealt = entries.join(hot, "h", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.lit(-1)))
+    groups = common.materialise(_grouped(dealt), "groups")
     pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    close = f"5L * least(n, n2) >= 4L * greatest(n, n2) AND bit_count(fp ^ fp2) <= {budget}"
-    window = Window.partitionBy("h", "part").orderBy("n", "id")
-    beside = groups.withColumn("last", F.lag(F.struct("id", "n", "fp")).over(window))
-    firsts = beside.where("last IS NULL").join(hot, "h").select("id", "n", "fp", F.col("pivot").alias("last"))
-    beside = beside.where("last IS NOT NULL").select("id", "n", "fp", "last").unionByName(firsts.select("id", "n", "fp", F.struct("last.id", "last.n", "last.fp").alias("last")))
-    beside = beside.select(F.col("id").alias("x"), "n", "fp", F.col("last.id").alias("y"), F.col("last.n").alias("n2"), F.col("last.fp").alias("fp2")).where("x <> y")
-    one = common.materialise(members.groupBy("fp").agg(F.min("id").alias("id")), "fingerprints")
+    other = sketch.toDF(*(f"{c}2" for c in sketch.columns))
+    differ = " + ".join(f"bit_count({c} ^ {c}2)" for c in ("fp", "f1", "f2", "f3"))
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """Of ``(a, b)`` those of near sizes and fingerprints, with the bits that differ."""
+        both = pairs.join(sketch, pairs.a == sketch.id).join(other, F.col("b") == F.col("id2"))
+        return both.where("5L * least(n, n2) >= 4L * greatest(n, n2)").select("a", "b", F.expr(differ).alias("bits")).where(F.col("bits") <= budget)
+
+    beside = groups.where("last IS NOT NULL").select(F.col("id").alias("x"), F.col("last").alias("y"))
+    firsts = groups.where("last IS NULL AND part >= 0").join(hot, "h").select(F.col("id").alias("x"), F.col("pivot").alias("y"))
+    one = common.materialise(sketch.groupBy("fp").agg(F.min("id").alias("id")), "fingerprints")
     tries = simhash.links(one.select("fp"))
     tries = tries.join(one.select(F.col("fp").alias("a"), F.col("id").alias("x")), "a").join(one.select(F.col("fp").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
-    tested = beside.where(close).select("x", "y").unionByName(tries)
-    tested = common.materialise(tested.select(*pair).distinct(), "tested")
+    found = close(beside.unionByName(firsts).unionByName(tries).where("x <> y").select(*pair).distinct())
+    nearest = Window.partitionBy("b").orderBy("bits", "a")
+    tested = common.materialise(found.withColumn("k", F.row_number().over(nearest)).where(F.col("k") <= closest).select("a", "b"), "tested")
     links = common.materialise(_verified(tested, texts, width), "links")
     roots = common.materialise(components(links), "roots")
     # Only members in different components are left to compare.
-    named = members.join(roots, members.id == roots.node, "left").select("id", F.coalesce("root", "id").alias("root"))
-    rooted = common.materialise(groups.join(named, "id"), "rooted")
+    rooted = groups.join(roots, groups.id == roots.node, "left").select("h", "part", "id", "s", F.coalesce("root", "id").alias("root"))
+    rooted = common.materialise(rooted, "rooted")
     mixed = rooted.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
     rooted = rooted.join(mixed, "h", "left_semi")
-    row = ("h", "i", "j", "id", "n", "fp", "root", "part")
-    plain = rooted.join(hot.select("h"), "h", "left_anti").withColumns({"i": F.lit(0), "j": F.lit(0)})
-    split = rooted.join(hot.select("h", "parts"), "h").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"i": F.least("part", "k"), "j": F.greatest("part", "k")})
-    across = _across(plain.select(*row).unionByName(split.select(*row)), budget)
-    rest = common.materialise(across.distinct().join(tested, ["a", "b"], "left_anti"), "rest")
+    row = ("h", "i", "j", "id", "s", "root", "part")
+    plain = rooted.where("part < 0").withColumns({"i": F.lit(0), "j": F.lit(0)})
+    split = rooted.where("part >= 0").join(hot.select("h", "parts"), "h").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"i": F.least("part", "k"), "j": F.greatest("part", "k")})
+    across = _across(plain.select(*row).unionByName(split.select(*row)), 15)
+    rest = close(across.distinct().join(tested, ["a", "b"], "left_anti")).select("a", "b")
+    rest = common.materialise(rest, "rest")
     if rest.limit(1).count():
         roots = common.materialise(components(links.unionByName(_verified(rest, texts, width))), "roots")
     both = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     ranks = both.join(classes.select(F.col("id").alias("node"), "rank"), "node")
     first = ranks.groupBy("root").agg(F.min("rank").alias("rank")).select("rank.id")
     gone = both.select(F.col("node").alias("id")).join(first, "id", "left_anti")
-    stay = classes.select("id").join(gone, "id", "left_anti").withColumnRenamed("id", _id)
+    stay = common.materialise(classes.select("id").join(gone, "id", "left_anti").withColumnRenamed("id", _id), "stay")
+    common.drop_made(spark, made, [*keep, common.MADE[-1]])
     return docs.join(stay, _id, "left_semi").select(*columns)

@@ -16,10 +16,22 @@ classes come from two sides:
   near copies.  Then all members of a group that are still in different
   components are compared.
 
-Candidates must be of near sizes, and their fingerprints of 256 bits within
-``budget`` bits: at a similarity of 0.8 bits differ independently with a
-probability of about 0.15, so that more than 70 differ for fewer than one pair
-in a million.  Every pair that is linked has been verified on the two texts.
+Neighbours must be of near sizes and have fingerprints of 256 bits within
+``budget`` bits, which costs no link, as all pairs of a group are still to
+come.  Those are left out by two bounds that hold for every near pair:
+
+* what two sets share lies, from the first shared shingle on, in the rest of
+  both, so the shorter rest holds at least 4 / 9 of the sum of the sizes.
+  Rare shingles come first, so a copy that has many of its own fails here;
+* a parity sketch has one bit for the parity of the number of shingles of a
+  hash value; two sketches never differ in more bits than the sets differ in
+  shingles, which for near sets is at most 1 / 9 of the sum of the sizes.
+  512 bits are compared in the groups and sketches of 2 n to 4 n bits
+  (65,536 at most) once for each pair.
+
+Of what is left each document's ``closest`` pairs come first, then what still
+is in different components.  Every pair that is linked has been verified on
+the two texts.
 
 A shingle with more than 1 / 1024 of all entries, as far as a sixteenth of
 the documents shows, is split: neighbours are sought in its parts, whose first
@@ -93,14 +105,32 @@ def _wide(s: np.ndarray) -> list[int]:
     return out
 
 
+_FEW, _MOST = 512, 65_536  # bits of the parity sketches
+
+
+def _parity(s: np.ndarray, bits: int) -> np.ndarray:
+    """The parities of how many members fall on each bit; a sketch of fewer bits is this one folded."""
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little")
+
+
+def _fold(x: np.ndarray, size: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0)
+
+
+def _differ(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of shingles that only one of two sets has, by their parity sketches."""
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(_fold(np.frombuffer(x, np.uint8), size) ^ _fold(np.frombuffer(y, np.uint8), size)).sum())
+
+
 def _prints(docs: DataFrame, width: int, usual: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``id``, two halves of a hash of the whole set, its size, its fingerprints (``fp`` and three more) and the prefix."""
+    """``id``, two halves of a hash of the whole set, its size, its fingerprints (``fp`` and three more), the prefix and two parity sketches."""
     shared = docs.sparkSession.sparkContext.broadcast(usual)  # bounded by `most` of common_shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = shared.value
         for b in batches:
-            tops, lows, sizes, marks, prefixes = [], [], [], [], []
+            tops, lows, sizes, marks, prefixes, few, odd = [], [], [], [], [], [], []
             for t in b.column(1):
                 s = _hashes(t.as_py(), width)
                 n, whole = len(s), xxhash.xxh3_128_intdigest(s.tobytes())
@@ -113,10 +143,13 @@ def _prints(docs: DataFrame, width: int, usual: tuple[np.ndarray, np.ndarray]) -
                 sizes.append(n)
                 marks.append(_wide(s))
                 prefixes.append(s[np.lexsort((s, rank))[: n - -(-4 * n // 5) + 1]].view(np.int64))
+                parity = _parity(s, min(_MOST, max(_FEW, 1 << (2 * n - 1).bit_length() if n else 0)))
+                few.append(_fold(parity, _FEW // 8).tobytes())
+                odd.append(parity.tobytes())
             halves = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (tops, lows, *(zip(*marks) if marks else [[]] * 4))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *halves, pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["id", "top", "low", "fp", "f1", "f2", "f3", "n", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *halves, pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(few, pa.binary()), pa.array(odd, pa.binary())], names=["id", "top", "low", "fp", "f1", "f2", "f3", "n", "prefix", "few", "odd"])
 
-    return docs.mapInArrow(run, "id long, top long, low long, fp long, f1 long, f2 long, f3 long, n int, prefix array<long>")
+    return docs.mapInArrow(run, "id long, top long, low long, fp long, f1 long, f2 long, f3 long, n int, prefix array<long>, few binary, odd binary")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -141,11 +174,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
 
 
 def _grouped(entries: DataFrame) -> DataFrame:
-    """``entries`` (h, part, id, s) of groups of two or more, and of all parts, with the ``last`` id before in the group."""
+    """``entries`` (h, part, id, s, p) of groups of two or more, and of all parts, with the ``last`` id before in the group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None  # the last two rows: one that is out, and one that waits for its successor
-        names = ["h", "part", "id", "s", "last"]
+        names = ["h", "part", "id", "s", "p", "last"]
 
         def out(t: pa.Table, first: int, end: int) -> pa.RecordBatch:
             h, part, ids = (t.column(k).to_numpy() for k in range(3))
@@ -153,7 +186,7 @@ def _grouped(entries: DataFrame) -> DataFrame:
             near = same | np.append(same[1:], False) | (part >= 0)
             rows = np.flatnonzero(near[first:end]) + first
             last = pa.array(ids[np.maximum(rows - 1, 0)], mask=~same[rows])
-            return pa.RecordBatch.from_arrays([*(t.column(k).take(pa.array(rows)).combine_chunks() for k in range(4)), last], names=names)
+            return pa.RecordBatch.from_arrays([*(t.column(k).take(pa.array(rows)).combine_chunks() for k in range(5)), last], names=names)
 
         before = 0
         for b in batches:
@@ -168,26 +201,32 @@ def _grouped(entries: DataFrame) -> DataFrame:
             yield out(held, before, held.num_rows)
 
     sorted_ = entries.repartition("h", "part").sortWithinPartitions("h", "part", "s", "id")
-    return sorted_.select("h", "part", "id", "s").mapInArrow(run, "h long, part int, id long, s int, last long")
+    return sorted_.select("h", "part", "id", "s", "p").mapInArrow(run, "h long, part int, id long, s int, p int, last long")
 
 
-def _across(named: DataFrame, budget: int) -> DataFrame:
-    """Pairs (a, b) of one group and of different roots; rows (h, i, j, id, s, root, part)."""
+def _across(named: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one group and of different roots that may be near; rows (h, i, j, id, root, part, p, n, few)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
         def pairs(t: pa.Table) -> pa.RecordBatch:
-            h, i, j, ids, s, root, part = (t.column(k).to_numpy() for k in range(7))
-            s, out = s.view(np.uint32), []
+            h, i, j, ids, root, part, p, n = (t.column(k).to_numpy() for k in range(8))
+            few = np.frombuffer(b"".join(t.column(8).to_pylist()), np.uint64).reshape(len(h), -1)
+            n = n.astype(np.int64)
+            rest, out = n - p, []
             many = np.flatnonzero(np.concatenate(([True], (np.diff(h) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0))))
             ends = np.repeat(np.append(many[1:], len(h)), np.diff(np.append(many, len(h))))
             at = np.arange(len(h))
             step = 1
             while len(at := at[at + step < ends[at]]):
                 x, y = at, at + step
-                ok = (root[x] != root[y]) & ((i[x] == j[x]) | (part[x] != part[y])) & (np.bitwise_count(s[x] ^ s[y]) <= budget)
-                out.append((ids[x[ok]], ids[y[ok]]))
+                both = n[x] + n[y]
+                ok = (root[x] != root[y]) & ((i[x] == j[x]) | (part[x] != part[y])) & (9 * np.minimum(rest[x], rest[y]) >= 4 * both)
+                x, y, both = x[ok], y[ok], both[ok]
+                ok = 9 * np.bitwise_count(few[x] ^ few[y]).sum(1, dtype=np.int64) <= both
+                if ok.any():
+                    out.append((ids[x[ok]], ids[y[ok]]))
                 step += 1
             a = np.concatenate([np.minimum(*o) for o in out]) if out else np.empty(0, np.int64)
             b = np.concatenate([np.maximum(*o) for o in out]) if out else np.empty(0, np.int64)
@@ -210,6 +249,26 @@ def _across(named: DataFrame, budget: int) -> DataFrame:
     return named.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(run, "a long, b long")
 
 
+def _possible(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Those of ``(a, b)`` that may be near by their whole parity sketches, with the bits that ``differ``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(a, b, d) for a, b, n, x, y in zip(*(c.to_pylist() for c in batch.columns)) if 9 * (d := _differ(x, y)) <= n]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], names=["a", "b", "differ"])
+
+    one, other = (members.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("odd").alias(f"odd_{c}")) for c in "ab")
+    both = pairs.join(one, "a").join(other, "b")
+    return both.select("a", "b", F.expr("n_a + n_b"), "odd_a", "odd_b").mapInArrow(run, "a long, b long, differ long")
+
+
+def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of ``(a, b)`` that are in different components."""
+    for c in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+    return pairs.where("coalesce(root_a, a) <> coalesce(root_b, b)").drop("root_a", "root_b")
+
+
 def kept(docs: DataFrame, width: int = 5, sample: int = 20_000, budget: int = 70, closest: int = 4, part_most: int = 20_000) -> DataFrame:
     """``docs`` without the rows that are near one that stays linked to them: of each component one row, of the smallest doc_id, stays."""
     spark, made = docs.sparkSession, len(common.MADE)
@@ -223,8 +282,8 @@ def kept(docs: DataFrame, width: int = 5, sample: int = 20_000, budget: int = 70
     classes = common.materialise(ranked.groupBy("top", "low").agg(F.min("rank").alias("rank")).select("rank.id", "rank"), "classes")
     members = common.materialise(prints.drop("top", "low").join(classes.select("id"), "id", "left_semi"), "members")
     common.drop_made(spark, made, [p for p in common.MADE[made:] if "/prints-" not in p])
-    sketch = members.drop("prefix")
-    entries = members.select(F.explode("prefix").alias("h"), "id", F.shiftright("fp", 32).cast("int").alias("s"))
+    sketch = members.drop("prefix", "few", "odd")
+    entries = members.select(F.posexplode("prefix").alias("p", "h"), "id", F.shiftright("fp", 32).cast("int").alias("s"))
     # Which shingles are split changes the cost, never the pairs.
     some = members.where("pmod(xxhash64(id), 16) = 0").select(F.explode("prefix").alias("h"), "id")
     total = members.agg(F.sum(F.size("prefix"))).first()[0] or 0
@@ -253,18 +312,24 @@ def kept(docs: DataFrame, width: int = 5, sample: int = 20_000, budget: int = 70
     links = common.materialise(_verified(tested, texts, width), "links")
     roots = common.materialise(components(links), "roots")
     # Only members in different components are left to compare.
-    rooted = groups.join(roots, groups.id == roots.node, "left").select("h", "part", "id", "s", F.coalesce("root", "id").alias("root"))
+    rooted = groups.join(roots, groups.id == roots.node, "left").select("h", "part", "id", "p", F.coalesce("root", "id").alias("root"))
     rooted = common.materialise(rooted, "rooted")
     mixed = rooted.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
-    rooted = rooted.join(mixed, "h", "left_semi")
-    row = ("h", "i", "j", "id", "s", "root", "part")
+    rooted = rooted.join(mixed, "h", "left_semi").join(members.select("id", "n", "few"), "id")
+    row = ("h", "i", "j", "id", "root", "part", "p", "n", "few")
     plain = rooted.where("part < 0").withColumns({"i": F.lit(0), "j": F.lit(0)})
     split = rooted.where("part >= 0").join(hot.select("h", "parts"), "h").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"i": F.least("part", "k"), "j": F.greatest("part", "k")})
-    across = _across(plain.select(*row).unionByName(split.select(*row)), 15)
-    rest = close(across.distinct().join(tested, ["a", "b"], "left_anti")).select("a", "b")
-    rest = common.materialise(rest, "rest")
-    if rest.limit(1).count():
-        roots = common.materialise(components(links.unionByName(_verified(rest, texts, width))), "roots")
+    across = _across(plain.select(*row).unionByName(split.select(*row)))
+    rest = common.materialise(_possible(across.distinct().join(tested, ["a", "b"], "left_anti"), members), "rest")
+    # The closest pairs of each document join most components, and need not all be compared.
+    nearest = Window.partitionBy("b").orderBy("differ", "a")
+    first = common.materialise(rest.withColumn("k", F.row_number().over(nearest)).where(F.col("k") <= closest).select("a", "b"), "first")
+    if first.limit(1).count():
+        links = common.materialise(links.unionByName(_verified(first, texts, width)), "links")
+        roots = common.materialise(components(links), "roots")
+        rest = common.materialise(_rooted(rest.join(first, ["a", "b"], "left_anti"), roots).select("a", "b"), "rest")
+        if rest.limit(1).count():
+            roots = common.materialise(components(links.unionByName(_verified(rest, texts, width))), "roots")
     both = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     ranks = both.join(classes.select(F.col("id").alias("node"), "rank"), "node")
     first = ranks.groupBy("root").agg(F.min("rank").alias("rank")).select("rank.id")

@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -55,6 +56,33 @@ def test_jaccard_limit():
     assert jaccard.near(x, y) and not jaccard.near(x - {0}, y) and jaccard.near(set(), set())
 
 
+def test_parity_sketches_never_differ_in_more_than_the_sets_do():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 3, 100, 300, 3000, 40_000):
+        for gone in (0, n // 100, n // 9, n // 2):
+            s = rng.integers(0, 2**64, n + gone, np.uint64, endpoint=False)
+            x, y = (jaccard._parity(z, bits).tobytes() for z, bits in ((s[:n], 4096), (s[gone:], 512 if n < 300 else 65_536)))
+            assert jaccard._differ(x, y) <= 2 * gone and jaccard._differ(x, x) == 0
+
+
+def test_near_dedup_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """Copies that are less near than 0.8 to each other: their pairs are not all compared by text, and no link is lost."""
+    rng = random.Random(7)
+    base, texts = [f"w{k}" for k in range(300)], []
+    for k in range(160):
+        words = list(base)
+        for at in rng.sample(range(300), rng.choice([2, 5, 8, 9, 10])):
+            words[at] = f"own{k}x{at}"
+        texts.append(" ".join(words))
+    counted, verified = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *more: counted.append(pairs.count()) or verified(pairs, *more))
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    root = _components({k: _grams(t) for k, t in enumerate(texts)})
+    assert got == sorted(set(root.values())) and 20 < len(got) < 140
+    assert sum(counted) < 10 * len(texts)
+
+
 def _components(grams):
     root = {i: i for i in grams}
     for i in grams:

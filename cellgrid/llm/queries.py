@@ -75,7 +75,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read(spark, sf_dir, "documents"))
-    return found.select("doc_id", *(f"n_{k}" for k in secrets.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+    return found.select("doc_id", *(f"n_{k}" for k in secrets.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans", "links")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ann, op2_sentencepiece, op3_shards, op4_suffix_dedup, op5_pii, op6_mixing, op7_html, op8_simhash, op9_quality, op10_secrets)}

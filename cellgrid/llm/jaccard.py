@@ -320,7 +320,9 @@ def kept(docs: DataFrame, width: int = 5, sample: int = 20_000, budget: int = 70
     plain = rooted.where("part < 0").withColumns({"i": F.lit(0), "j": F.lit(0)})
     split = rooted.where("part >= 0").join(hot.select("h", "parts"), "h").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"i": F.least("part", "k"), "j": F.greatest("part", "k")})
     across = _across(plain.select(*row).unionByName(split.select(*row)))
-    rest = common.materialise(_possible(across.distinct().join(tested, ["a", "b"], "left_anti"), members), "rest")
+    # A pair comes from each group that it shares; it is looked up once.
+    across = common.materialise(across.distinct(), "across")
+    rest = common.materialise(_possible(across.join(tested, ["a", "b"], "left_anti"), members), "rest")
     # The closest pairs of each document join most components, and need not all be compared.
     nearest = Window.partitionBy("b").orderBy("differ", "a")
     first = common.materialise(rest.withColumn("k", F.row_number().over(nearest)).where(F.col("k") <= closest).select("a", "b"), "first")

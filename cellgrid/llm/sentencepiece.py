@@ -34,12 +34,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import give_back
+
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MARK = "▁"
 _LATE = 1 << 40
 _CACHE_MOST = 300_000
-_BYTES_AT_ONCE = 8 << 20
+_BYTES_AT_ONCE = 4 << 20
 _CELLS_AT_ONCE = 1 << 18
+_IDS_AT_ONCE = 1 << 18
 #: Spreads hashes (those of single characters are small) over all values; odd, so different ones stay different.
 _SPREAD = np.uint64(0xD1B54A32D192ED03)
 #: Words of more characters are cut where no piece can span.
@@ -392,15 +395,15 @@ class Codec:
             return ids, offsets
         edge = np.diff(np.concatenate(([0], both.astype(np.int8), [0])))
         begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + 1
-        parts, cut, at = [], np.zeros(len(ids) + 1, np.int64), 0
+        parts, lost, at = [], [0], 0
         memo: dict[int, list[int]] = {}
         for a, b in zip(begin.tolist(), end.tolist()):
             run = memo.setdefault(b - a, []) or memo.__setitem__(b - a, self.m.space_run(b - a)) or memo[b - a]
             parts += [ids[at:a], np.array(run, np.int32)]
-            cut[b] += (b - a) - len(run)
+            lost.append((b - a) - len(run))
             at = b
         parts.append(ids[at:])
-        return np.concatenate(parts), offsets - np.cumsum(cut)[offsets]
+        return np.concatenate(parts), offsets - np.cumsum(lost)[np.searchsorted(end, offsets, side="right")]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
         ends = np.concatenate(([0], np.cumsum(self.sizes[ids])))[offsets]
@@ -410,9 +413,16 @@ class Codec:
 
 
 def _gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The ``counts`` values from each of ``starts`` on, one behind the other."""
+    """The ``counts`` values from each of ``starts`` on, one behind the other; indices are made for a bounded number at once."""
     ends = np.cumsum(counts)
-    return values[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + counts, counts)]
+    out, shift = np.empty(int(ends[-1]) if len(ends) else 0, values.dtype), starts - ends + counts
+    at, done = 0, 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, done + _IDS_AT_ONCE, side="right")))
+        high = int(ends[stop - 1])
+        out[done:high] = values[np.arange(done, high) + np.repeat(shift[at:stop], counts[at:stop])]
+        at, done = stop, high
+    return out
 
 
 _CODECS: dict[str, Codec] = {}
@@ -454,11 +464,13 @@ def encode(docs: DataFrame, model: Model, text: str = "text", ids: str = "ids",
                 flat, offsets = codec.encode(column)
                 null = column.is_null().to_numpy(zero_copy_only=False)
                 counts = pa.array(np.diff(offsets), mask=null)
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), mask=np.append(null, False)), pa.array(flat.astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), mask=np.append(null, False)), pa.array(flat.astype(np.int32, copy=False)))
                 extra = [counts, lists]
                 if check:
                     extra.append(pa.array([None if t is None else t == d for t, d in zip(column.to_pylist(), codec.decode(flat, offsets))], pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*b.columns, *extra], names=names)
+                del column, flat, offsets, null, counts, lists, extra
+                give_back()
 
     return docs.mapInArrow(run, schema)
 

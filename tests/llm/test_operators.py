@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -286,6 +287,30 @@ def test_sentencepiece_without_spaces():
         assert ids.tolist() == lib.encode(t)
 
 
+def test_sentencepiece_in_bounded_memory():
+    """A batch takes a few times the bytes of one slice, whatever its own size; ids and decoded texts stay the same."""
+    public = pytest.importorskip("public_tokenizers")
+    import sentencepiece as library
+
+    path = public.path("piece_bpe_32k.model")
+    model, lib = sentencepiece.load(path), library.SentencePieceProcessor(model_file=path)
+    texts = [None, "", "a  b   c\n\n d ", *[f"x{i}  " + "on the way to it " * 9000 for i in range(60)], "   "]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    codec = sentencepiece.Codec(model)
+    codec.encode(batch.column(1).slice(0, 4))
+    tracemalloc.start()
+    n = 0
+    for part in sentencepiece._pieces_of(batch, 1):
+        ids, offsets = codec.encode(part.column(1))
+        assert codec.decode(ids[offsets[-2] :], offsets[-2:] - offsets[-2]) == part.column(1).slice(part.num_rows - 1).to_pylist()
+        n += part.num_rows
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts) and most < 100e6
+    for k, t in enumerate(part.column(1).to_pylist()[-3:], part.num_rows - 3):
+        assert ids[offsets[k] : offsets[k + 1]].tolist() == lib.encode(t)
+
+
 def test_viterbi_of_a_unigram_model():
     pieces = ["<unk>", "▁", "a", "b", "▁a", "ab", "▁ab", "ba"]
     model = sentencepiece.Model(pieces, np.array([0, -3, -2.5, -2.6, -2.2, -4.0, -5.5, -2.1]), np.array([2] + [1] * 7), False, False, True)

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
+#: Numbers that one temporary array holds at most.
 _CELLS = 1 << 20
 
 
@@ -65,6 +66,12 @@ class Index:
     def nearest_lists(self, rotated: np.ndarray) -> np.ndarray:
         return (self.centroids**2).sum(1) - 2 * rotated @ self.centroids.T
 
+    def own_list(self, x: np.ndarray) -> np.ndarray:
+        """The list of each vector, in blocks of at most ``_CELLS`` distances."""
+        step = max(1, _CELLS // max(1, len(self.centroids)))
+        got = [self.nearest_lists(self.rotated(x[s : s + step], False)).argmin(1) for s in range(0, len(x), step)]
+        return np.concatenate(got) if got else np.empty(0, np.int64)
+
 
 def usable(vectors: DataFrame, key: str, column: str) -> tuple[DataFrame, int]:
     """Rows that take part, as ``id`` and ``vec`` (doubles), and their length."""
@@ -120,7 +127,7 @@ def fit(rows: DataFrame, dim: int, n_queries: int, k: int, sample: int = 16_384,
                 m = min(k, len(y))
                 c = np.argpartition(-score, m - 1, axis=1)[:, :m]
                 r = np.repeat(np.arange(len(asked)), m)
-                at = index.nearest_lists(index.rotated(y, False)).argmin(1)[c.ravel()]
+                at = index.own_list(y)[c.ravel()]
                 top = tuple(np.concatenate(z) for z in zip(top, (r, score[r, c.ravel()], at)))
                 order = np.lexsort((-top[1], top[0]))
                 q = top[0][order]
@@ -137,7 +144,7 @@ def fit(rows: DataFrame, dim: int, n_queries: int, k: int, sample: int = 16_384,
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                got = np.bincount(index.nearest_lists(index.rotated(_matrix(b.column(0), dim), False)).argmin(1), minlength=lists)
+                got = np.bincount(index.own_list(_matrix(b.column(0), dim)), minlength=lists)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(lists)), pa.array(got)], names=["list", "n"])
 
     per = rows.select("vec").mapInArrow(assign, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).collect()
@@ -159,6 +166,45 @@ def _mixed(ids: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(33)).astype(np.int64)
 
 
+def _blocks(n: int, dim: int) -> Iterator[slice]:
+    """Ranges of ``n`` rows of ``dim`` numbers that hold ``_CELLS`` numbers at most."""
+    step = max(1, _CELLS // max(1, dim))
+    return (slice(s, s + step) for s in range(0, n, step))
+
+
+def _scores(q: np.ndarray, r: np.ndarray, x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The inner products of rows ``r`` of ``q`` and ``c`` of ``x``."""
+    out = np.empty(len(r))
+    for b in _blocks(len(r), q.shape[1]):
+        out[b] = (q[r[b]] * x[c[b]]).sum(1)
+    return out
+
+
+def _best(q_ids: np.ndarray, r: np.ndarray, ids: np.ndarray, c: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Of pairs (r, c) the k best of each r, as (query, vector, score)."""
+    order = np.lexsort((ids[c], -score, r))
+    r, c, score = r[order], c[order], score[order]
+    top = np.arange(len(r)) - np.searchsorted(r, r) < k
+    return q_ids[r[top]], ids[c[top]], score[top]
+
+
+def nearest(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(query, vector, score): for each query its best k of ``x``; only what may be among these is scored pair by pair."""
+    out: list[tuple[np.ndarray, ...]] = []
+    far = np.sqrt((x**2).sum(1).max(initial=0))
+    for b in _blocks(len(q), len(x)):
+        near = q[b] @ x.T
+        near[q_ids[b][:, None] == ids[None, :]] = -np.inf
+        m = min(k, len(x))
+        kth = np.partition(near, len(x) - m, axis=1)[:, len(x) - m]
+        # Sums in another order differ by far less than this.
+        slack = 1e-9 * far * np.sqrt((q[b] ** 2).sum(1))
+        r, c = np.nonzero((near >= (kth - slack)[:, None]) & (near > -np.inf))
+        r += b.start
+        out.append(_best(q_ids, r, ids, c, _scores(q, r, x, c), k))
+    return tuple(np.concatenate(z) for z in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+
+
 def scan(index: Index, q: np.ndarray, q_ids: np.ndarray, bound2: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, trust: float = 1.2, width: int = 16) -> tuple[np.ndarray, ...]:
     """(query, vector, score): for each query its best k of ``x``, of those the tests leave."""
     turned, asked = index.rotated(x, False), index.rotated(q, True)
@@ -182,20 +228,18 @@ def scan(index: Index, q: np.ndarray, q_ids: np.ndarray, bound2: np.ndarray, x:
             return value <= (slack * seen / d) * lim
 
         r, c = np.nonzero(within(part, cuts[0], limit[:, None]))
-        acc = part[r, c]
-        for low, high in zip(cuts, cuts[1:]):
-            acc = acc + ((a[r, low:high] - turned[c, low:high]) ** 2).sum(1)
-            ok = within(acc, high, limit[r])
-            r, c, acc = r[ok], c[ok], acc[ok]
-        ok = q_ids[s + r] != ids[c]
-        r, c = r[ok] + s, c[ok]
-        score = (q[r] * x[c]).sum(1)
-        order = np.lexsort((ids[c], -score, r))
-        r, c, score = r[order], c[order], score[order]
-        new = np.concatenate(([True], r[1:] != r[:-1])) if len(r) else np.empty(0, bool)
-        start = np.maximum.accumulate(np.where(new, np.arange(len(r)), 0)) if len(r) else np.empty(0, int)
-        top = np.arange(len(r)) - start < k
-        out.append((q_ids[r[top]], ids[c[top]], score[top]))
+        left = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        for b in _blocks(len(r), d):
+            i, j = r[b], c[b]
+            acc = part[i, j]
+            for low, high in zip(cuts, cuts[1:]):
+                acc = acc + ((a[i, low:high] - turned[j, low:high]) ** 2).sum(1)
+                ok = within(acc, high, limit[i])
+                i, j, acc = i[ok], j[ok], acc[ok]
+            ok = q_ids[s + i] != ids[j]
+            left.append((i[ok] + s, j[ok]))
+        r, c = (np.concatenate(z) for z in zip(*left))
+        out.append(_best(q_ids, r, ids, c, _scores(q, r, x, c), k))
     return tuple(np.concatenate(z) for z in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
 
 
@@ -219,12 +263,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
             if not b.num_rows:
                 continue
             ids, x = b.column(0).to_numpy(), _matrix(b.column(1), dim)
-            at = ix.nearest_lists(ix.rotated(x, False)).argmin(1)
+            at = ix.own_list(x)
             part = _mixed(ids) % ix.vparts[at]
             times = ix.qparts[at]
             row = np.repeat(np.arange(len(ids)), times)
             qpart = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-            yield pa.RecordBatch.from_arrays([pa.array(at[row]), pa.array(part[row]), pa.array(qpart), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row))], names=["list", "v", "q", "id", "vec"])
+            for o in _blocks(len(row), dim):
+                n = pa.array(row[o])
+                yield pa.RecordBatch.from_arrays([pa.array(at[row[o]]), pa.array(part[row[o]]), pa.array(qpart[o]), b.column(0).take(n), b.column(1).take(n)], names=["list", "v", "q", "id", "vec"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
@@ -250,13 +296,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
                 row, at2 = np.repeat(r, times), np.repeat(at, times)
                 vpart = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
                 qpart = _mixed(ids[row]) % ix.qparts[at2]
-                yield pa.RecordBatch.from_arrays([pa.array(at2), pa.array(vpart), pa.array(qpart), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(bound[row])], names=["list", "v", "q", "id", "vec", "bound"])
+                for o in _blocks(len(row), dim):
+                    n = pa.array(row[o])
+                    yield pa.RecordBatch.from_arrays([pa.array(at2[o]), pa.array(vpart[o]), pa.array(qpart[o]), b.column(0).take(n), b.column(1).take(n), pa.array(bound[row[o]])], names=["list", "v", "q", "id", "vec", "bound"])
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
         for b in batches:
             if b.num_rows:
-                got = scan(ix, _matrix(b.column(1), dim), b.column(0).to_numpy(), np.full(b.num_rows, np.inf), ix.sample, ix.sample_ids, k)
+                got = nearest(_matrix(b.column(1), dim), b.column(0).to_numpy(), ix.sample, ix.sample_ids, k)
                 yield pa.RecordBatch.from_arrays([pa.array(z) for z in got], names=["query_id", "vec_id", "score"])
 
     def probe(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -463,3 +463,23 @@ def test_ann(spark):
     assert len(got) == 30 and hit >= 0.9 * 300
     assert ann.search(df.limit(0), F.lit(True)).count() == 0
     assert ann.search(df.where("vec_id < 5"), F.col("vec_id") == 0).count() == 4
+
+
+def test_ann_in_bounded_memory():
+    """Bounds that turn no pair away cost no copy of both vectors of every pair; results are those of brute force."""
+    rng = np.random.default_rng(6)
+    x, q = rng.standard_normal((2048, 64)), rng.standard_normal((512, 64))
+    x[9] = x[4]
+    ids, q_ids = np.arange(2048), np.arange(512) + 2000
+    index = ann.Index(64, float((x**2).sum(1).max()), np.linalg.qr(rng.standard_normal((65, 65)))[0], np.empty(0), ids, x, 1, np.empty(0), np.empty(0), np.empty(0))
+    want = []
+    for i, v in zip(q_ids.tolist(), q):
+        s = (v * x).sum(1)
+        want += [(i, j, s[j]) for j in np.lexsort((ids, -s)).tolist() if j != i][:20]
+    tracemalloc.start()
+    got = [ann.scan(index, q, q_ids, np.full(512, np.inf), x, ids, 20)]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 200e6
+    got.append(ann.nearest(q, q_ids, x, ids, 20))
+    assert all(list(zip(*(z.tolist() for z in g))) == want for g in got)

@@ -77,6 +77,20 @@ def give_back() -> None:
         _TRIM(0)
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession, most: int = 1 << 20) -> None:
+    """From now on rows go to Python in batches of about ``most`` bytes (one row at least); a lower limit stays.
+
+    The limit changes how many rows go at once, never which; by default it is 64 MB, held twice in the JVM as buffers grow.
+    """
+    now = spark.conf.get(_BATCH_BYTES, None)
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) if now and not now.startswith("-") else 0
+    if not 0 < now <= most:
+        spark.conf.set(_BATCH_BYTES, str(most))
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not use (names are compared without case)."""
     used, name = {c.lower() for c in df.columns}, stem

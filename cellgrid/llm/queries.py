@@ -32,7 +32,7 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentencepiece.encode(docs, piece_model(), check="round_trip").select("doc_id", "n_tokens", "ids", "round_trip")
+    return sentencepiece.encode(docs, piece_model(), check="round_trip", keep_text=False).select("doc_id", "n_tokens", "ids", "round_trip")
 
 
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

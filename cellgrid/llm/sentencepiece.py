@@ -34,13 +34,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import give_back
+from .common import bound_batches, give_back
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MARK = "▁"
 _LATE = 1 << 40
-_CACHE_MOST = 300_000
-_BYTES_AT_ONCE = 4 << 20
+_CACHE_MOST = 100_000
+_BYTES_AT_ONCE = 1 << 20
 _CELLS_AT_ONCE = 1 << 18
 _IDS_AT_ONCE = 1 << 18
 #: Spreads hashes (those of single characters are small) over all values; odd, so different ones stay different.
@@ -448,13 +448,19 @@ def _pieces_of(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     yield batch.slice(start)
 
 
-def encode(docs: DataFrame, model: Model, text: str = "text", ids: str = "ids", check: str | None = None) -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``ids``; ``check`` names a column for whether decoding gives the text back."""
+def encode(docs: DataFrame, model: Model, text: str = "text", ids: str = "ids", check: str | None = None, keep_text: bool = True) -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``ids``; ``check`` names a column for whether decoding gives the text back.
+
+    Without ``keep_text`` the texts are not handed back.  A session's limit of bytes in an Arrow batch is lowered to
+    that of a slice, so that no task holds more text than a few slices (one text at least), in Python or in the JVM.
+    """
     docs = docs.drop("n_tokens", ids, *([check] if check else []))
+    bound_batches(docs.sparkSession, _BYTES_AT_ONCE)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as large as the vocabulary
     at = docs.columns.index(text)
-    names = [*docs.columns, "n_tokens", ids, *([check] if check else [])]
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField(ids, T.ArrayType(T.IntegerType()))] + ([T.StructField(check, T.BooleanType())] if check else []))
+    held = [k for k in range(len(docs.columns)) if keep_text or k != at]
+    names = [*(docs.columns[k] for k in held), "n_tokens", ids, *([check] if check else [])]
+    schema = T.StructType([*(docs.schema.fields[k] for k in held), T.StructField("n_tokens", T.LongType()), T.StructField(ids, T.ArrayType(T.IntegerType()))] + ([T.StructField(check, T.BooleanType())] if check else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value)
@@ -468,7 +474,7 @@ def encode(docs: DataFrame, model: Model, text: str = "text", ids: str = "ids",
                 extra = [counts, lists]
                 if check:
                     extra.append(pa.array([None if t is None else t == d for t, d in zip(column.to_pylist(), codec.decode(flat, offsets))], pa.bool_()))
-                yield pa.RecordBatch.from_arrays([*b.columns, *extra], names=names)
+                yield pa.RecordBatch.from_arrays([*(b.column(k) for k in held), *extra], names=names)
                 del column, flat, offsets, null, counts, lists, extra
                 give_back()
 

@@ -29,6 +29,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows with equal or null ids are rows like others: of equal texts one stays.
     """
+    common.bound_batches(spark)
     return simhash.near_documents(docs.select(*COLUMNS))
 
 
@@ -40,6 +41,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose rate leaves them no copy go; a rate above one keeps a document once."""
+    common.bound_batches(spark)
     model = mixing.fit(docs, queries.domains_of(read(spark, sf_dir, "labels")), queries.DOMAINS)
     scored = materialise(mixing.score(docs, model), "scored")
     rated = mixing.with_rates(scored, mixing.fit_rates(scored, queries.WEIGHTS))
@@ -48,7 +50,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each text, and how many they are."""
-    return sentencepiece.encode(docs.select("doc_id", "text", "lang", "source"), queries.piece_model()).drop("text")
+    return sentencepiece.encode(docs.select("doc_id", "text", "lang", "source"), queries.piece_model(), keep_text=False)
 
 
 STAGES = [

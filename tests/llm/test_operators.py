@@ -311,6 +311,43 @@ def test_sentencepiece_in_bounded_memory():
         assert ids[offsets[k] : offsets[k + 1]].tolist() == lib.encode(t)
 
 
+def test_sentencepiece_batches_and_words_are_bounded(spark):
+    """Neither a large batch of the session nor many rare words grow a task; every row and id stays."""
+    public = pytest.importorskip("public_tokenizers")
+    import sentencepiece as library
+
+    path = public.path("piece_bpe_32k.model")
+    model, lib = sentencepiece.load(path), library.SentencePieceProcessor(model_file=path)
+    key, before = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows], pa.int64()), pa.array([b.nbytes], pa.int64())], names=["n", "size"])
+
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("on the way to "), F.repeat(F.lit("it goes "), 5000), "id").alias("text"))
+    try:
+        spark.conf.set(key, "64m")
+        found = sentencepiece.encode(docs, model, keep_text=False)
+        assert found.columns == ["doc_id", "n_tokens", "ids"]
+        got = docs.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r["n"] for r in got) == 400 and max(r["size"] for r in got) < 2 << 20
+        rows = found.collect()
+        text = docs.where("doc_id = 377").first()["text"]
+        assert len(rows) == 400 and next(r["ids"] for r in rows if r["doc_id"] == 377) == lib.encode(text)
+        spark.conf.set(key, "1000")
+        sentencepiece.encode(docs, model)
+        assert spark.conf.get(key) == "1000"
+    finally:
+        spark.conf.set(key, before)
+    texts = [" ".join(f"q{k}z" for k in range(a, a + 1000)) for a in range(0, 320_000, 1000)]
+    codec, most = sentencepiece.Codec(model), 0
+    for part in sentencepiece._pieces_of(pa.record_batch([pa.array(texts)], names=["text"]), 0):
+        ids, offsets = codec.encode(part.column(0))
+        most = max(most, len(codec.cache))
+        assert ids[offsets[0] : offsets[1]].tolist() == lib.encode(part.column(0)[0].as_py())
+    assert most < 250_000
+
+
 def test_viterbi_of_a_unigram_model():
     pieces = ["<unk>", "▁", "a", "b", "▁a", "ab", "▁ab", "ba"]
     model = sentencepiece.Model(pieces, np.array([0, -3, -2.5, -2.6, -2.2, -4.0, -5.5, -2.1]), np.array([2] + [1] * 7), False, False, True)
